@@ -57,7 +57,10 @@ def matches(text: Column, pattern: str) -> Column:
     expression per feature; anything else is left to ``rlike``.
     """
     tests, regexes = [], []
-    for part in pattern.split("|"):
+    parts = pattern.split("|")
+    for part in parts:
+        if any(other != part and _plain(other) and other in part for other in parts):
+            continue  # "night" already finds "tonight"
         if part == "$":
             tests.append(F.length(text) >= 0)
         elif _plain(part):

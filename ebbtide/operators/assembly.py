@@ -15,9 +15,13 @@ def join_activity(cohort: DataFrame, *grids: DataFrame) -> DataFrame:
 
 
 def join_keywords(base: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Left join on the account id, which several account keys may share."""
-    order = base.columns + [name for name in keywords.columns if name != "account_id"]
-    return base.join(keywords, "account_id", "left").select(*order)
+    """Left join on the account id, which several account keys may share.
+
+    Keywords are first given their account keys on narrow rows. The wide base, whose key is
+    unique, then joins on the account key like every grid and is not shuffled again.
+    """
+    keyed = base.select("account_key", "account_id").join(keywords, "account_id").drop("account_id")
+    return base.join(keyed, "account_key", "left")
 
 
 def explicit_industry(base: DataFrame, column: str = "industry", level: str = "NA") -> DataFrame:

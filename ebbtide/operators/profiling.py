@@ -122,7 +122,8 @@ def classify_variables(df: DataFrame, options: Options, response: str = "Respons
 
     Later rules win: type, non-predictive list, response, id; then constants and categories of
     too many levels become ``np``. A numeric column is constant when its minimum is its maximum
-    without a NULL beside it, which one map-side pass tells; only categories are counted.
+    without a NULL beside it, which one map-side pass tells. Only categories are counted, and
+    those far over the limit are told by a sketch: near-unique text is never shuffled.
     The result has one row per column.
     """
     types = dict(df.dtypes)
@@ -144,7 +145,8 @@ def classify_variables(df: DataFrame, options: Options, response: str = "Respons
     numeric = [c for c, (role, _) in roles.items() if role == "num"]
     text = [c for c, (role, _) in roles.items() if role == "cat"]
     constant = _constant_columns(df, numeric)
-    levels = _level_numbers(df, text)
+    crowded = _crowded(df, text, options.max_levels)
+    levels = {**crowded, **_level_numbers(df, [name for name in text if name not in crowded])}
     if options.numeric_to_category is not None and numeric:
         few = _level_numbers(df, numeric)
     else:
@@ -155,12 +157,12 @@ def classify_variables(df: DataFrame, options: Options, response: str = "Respons
         elif few and few[name] <= options.numeric_to_category:
             roles[name] = ("cat", "numeric with few levels")
     for name in text:
-        if levels[name] == 1:
+        if levels.get(name, 0) <= 1:
             roles[name] = ("np", "constant")
         elif levels[name] > options.max_levels:
             roles[name] = ("np", "too many levels")
     rows = [
-        (position, name, types[name], levels.get(name), role, reason)
+        (position, name, types[name], None if name in crowded else levels.get(name), role, reason)
         for position, (name, (role, reason)) in enumerate(roles.items())
     ]
     return df.sparkSession.createDataFrame(
@@ -187,6 +189,19 @@ def _constant_columns(df: DataFrame, numeric: Sequence[str]) -> set[str]:
     return {name for name in numeric if row[name]}
 
 
+def _crowded(df: DataFrame, text: Sequence[str], limit: int) -> dict[str, int]:
+    """Columns that certainly have more than ``limit`` levels, with a rough number.
+
+    The sketch has 512 registers. Up to 128 values fill at most 128 of them, for which its
+    linear count is at most 512 ln(512 / 384) = 147; an estimate over 256 thus proves more than
+    128. Larger limits are left to the exact count.
+    """
+    if not text or limit > 128:
+        return {}
+    row = df.agg(*[F.approx_count_distinct(name, 0.05).alias(name) for name in text]).first()
+    return {name: row[name] for name in text if row[name] > 256}
+
+
 def _level_numbers(df: DataFrame, variables: Sequence[str]) -> dict[str, int]:
     if not variables:
         return {}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import activity, assembly, cohort, messages
 from ..options import Options
 from ..session import stage
+from ..sources.sinks import assert_unique
 
 
 @dataclasses.dataclass(frozen=True)
@@ -30,15 +31,17 @@ CAMPAIGN_MEASURES = ("rpct_d", "capn_d")
 def add_features(cohort_rows: DataFrame, inputs: Inputs, options: Options, labelled: bool = False) -> DataFrame:
     """Activity grids and keyword features for every row of a cohort.
 
-    The cohort is written once, since every join below reads it; the rest is one lazy plan.
-    Messages are read once: the same daily frame gives campaign grids and keyword sums. With
+    The cohort is written once, since every join below reads it, and its key is checked. So are
+    the messages' daily sums (one row per sender and day), which give both campaign grids and
+    keyword features: texts are read and searched once. The rest is one lazy plan. With
     ``labelled`` only messages of labelled accounts count, as in the training build.
     """
-    base = stage(cohort_rows, "cohort")
+    base = assert_unique(stage(cohort_rows, "cohort"), ["account_key"])
     span = activity.observed_span(base, options)
     usage = activity.usage_in_window(base, inputs.account_dim, inputs.usage_fact, options, span)
     packages = activity.packages_in_window(base, inputs.package_log, options, span)
-    days = messages.message_days(inputs.messages, activity.stamp_bounds("stamp_to_send", span))
+    bounds = activity.stamp_bounds("stamp_to_send", span)
+    days = stage(messages.message_days(inputs.messages, bounds), "message-days")
     campaigns = activity.events_in_window(base, days.select("fact_key", "day", *CAMPAIGN_MEASURES), options)
     writers = base
     if labelled:

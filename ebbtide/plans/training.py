@@ -45,8 +45,7 @@ def prepare(frame: DataFrame, options: Options, keep: Sequence[str] = ()) -> Pre
     require(frame, options.response, options.id_column, "md_sc_f")
     renamed = frame.withColumnRenamed(options.response, RESPONSE)
     staged = stage(renamed, "frame")
-    require_rows(staged, "training frame")
-    modelling = splitting.by_role(staged, "md")
+    modelling = require_rows(splitting.by_role(staged, "md"), "the modelling part of the frame")
     marked = stage(splitting.mark_split(modelling, RESPONSE, options.id_column, options), "split")
     train_rows = marked.filter(F.col("split") == "train").drop("split")
     test_rows = marked.filter(F.col("split") == "test").drop("split")
