@@ -426,13 +426,13 @@ def _medians_sql(columns, source) -> str:
     f"select * from ({_medians_sql(NUMBER_COLUMNS, 'train_rows')}) where median is not null",
 )
 def _(spark, sf_dir):
-    return ranking.medians(ranking.reusable(ranking.value_counts(train_rows(spark, sf_dir), NUMBER_COLUMNS)))
+    return ranking.medians(ranking.ranked_values(ranking.value_counts(train_rows(spark, sf_dir), NUMBER_COLUMNS)))
 
 
 @add("medians_lines", "variable s, median d4", _medians_sql(LINE_COLUMNS, "lineitem"))
 def _(spark, sf_dir):
     lines = b.table(spark, sf_dir, "lineitem")
-    return ranking.medians(ranking.reusable(ranking.value_counts(lines, LINE_COLUMNS)))
+    return ranking.medians(ranking.ranked_values(ranking.value_counts(lines, LINE_COLUMNS)))
 
 
 def _profile_sql(columns, source) -> str:
@@ -667,8 +667,9 @@ def woe(spark, sf_dir) -> DataFrame:
     _bins_sql(IV_NUMERIC, "train_rows", "Response"),
 )
 def _(spark, sf_dir):
-    counts = ranking.reusable(ranking.value_counts(train_rows(spark, sf_dir), IV_NUMERIC, RESPONSE))
-    return ranking.quantile_groups(counts, b.OPTIONS.iv_groups, ("n", "goods"))
+    counts = ranking.value_counts(train_rows(spark, sf_dir), IV_NUMERIC, RESPONSE)
+    ranked = ranking.ranked_values(counts, ("n", "goods"))
+    return ranking.quantile_groups(ranked, b.OPTIONS.iv_groups, ("n", "goods"))
 
 
 @add("woe_table", WOE_SPEC, _WOE)
@@ -705,8 +706,9 @@ def _returned_lines(spark, sf_dir):
     _bins_sql(LINE_COLUMNS, _LINES, "returned"),
 )
 def _(spark, sf_dir):
-    counts = ranking.reusable(ranking.value_counts(_returned_lines(spark, sf_dir), LINE_COLUMNS, "returned"))
-    return ranking.quantile_groups(counts, 10, ("n", "goods"))
+    counts = ranking.value_counts(_returned_lines(spark, sf_dir), LINE_COLUMNS, "returned")
+    ranked = ranking.ranked_values(counts, ("n", "goods"))
+    return ranking.quantile_groups(ranked, 10, ("n", "goods"))
 
 
 @add("woe_lines", WOE_SPEC, _woe_sql(LINE_COLUMNS, ["l_linestatus"], _LINES, "returned"))
@@ -766,52 +768,52 @@ for _suffix, _source, _sql_name in (
 ):
     _cum = _CUM.format(source=_sql_name)
 
-    def _counts(spark, sf_dir, source=_source):
-        return evaluation.score_counts(source(spark, sf_dir), "score", RESPONSE)
+    def _ranked(spark, sf_dir, source=_source):
+        return evaluation.ranked_scores(source(spark, sf_dir), "score", RESPONSE)
 
     @add(f"gini_exact{_suffix}", "gini d4", _gini_sql(_sql_name))
-    def _(spark, sf_dir, counts=_counts):
-        return evaluation.gini(counts(spark, sf_dir))
+    def _(spark, sf_dir, ranked=_ranked):
+        return evaluation.gini(ranked(spark, sf_dir))
 
     @add(
         f"cumulative_shares{_suffix}",
         "score d6, cum_good d6, cum_bad d6",
         f"select score, cg * 1.0::double / tg as cum_good, cb * 1.0::double / tb as cum_bad from ({_cum})",
     )
-    def _(spark, sf_dir, counts=_counts):
-        return evaluation.cumulative_shares(counts(spark, sf_dir))
+    def _(spark, sf_dir, ranked=_ranked):
+        return evaluation.cumulative_shares(ranked(spark, sf_dir))
 
     @add(
         f"ks{_suffix}",
         "ks d6",
         f"select max(abs(cg * 1.0::double / tg - cb * 1.0::double / tb)) as ks from ({_cum})",
     )
-    def _(spark, sf_dir, counts=_counts):
-        return evaluation.ks(counts(spark, sf_dir))
+    def _(spark, sf_dir, ranked=_ranked):
+        return evaluation.ks(ranked(spark, sf_dir))
 
     @add(
         f"roc_points{_suffix}",
         "score d6, tpr d6, fpr d6",
         f"select score, (tg - cg + g) * 1.0::double / tg as tpr, (tb - cb + b) * 1.0::double / tb as fpr from ({_cum})",
     )
-    def _(spark, sf_dir, counts=_counts):
-        return evaluation.roc_points(counts(spark, sf_dir))
+    def _(spark, sf_dir, ranked=_ranked):
+        return evaluation.roc_points(ranked(spark, sf_dir))
 
     @add(
         f"score_deciles{_suffix}",
         "decile i, low d6, high d6, n i, goods i",
         _decile_sql(_sql_name),
     )
-    def _(spark, sf_dir, counts=_counts):
-        return evaluation.decile_ranges(counts(spark, sf_dir))
+    def _(spark, sf_dir, ranked=_ranked):
+        return evaluation.decile_ranges(ranked(spark, sf_dir))
 
     @add(
         f"decile_conversion{_suffix}",
         "decile i, conversion d4",
         _decile_sql(_sql_name),
     )
-    def _(spark, sf_dir, counts=_counts):
-        return evaluation.decile_conversion(evaluation.decile_ranges(counts(spark, sf_dir)))
+    def _(spark, sf_dir, ranked=_ranked):
+        return evaluation.decile_conversion(evaluation.decile_ranges(ranked(spark, sf_dir)))
 
     @add(
         f"confusion_at{_suffix}",
@@ -901,7 +903,7 @@ for _suffix, _source, _sql_name in (
     )
     def _(spark, sf_dir, source=_source, columns=_columns):
         rows = source(spark, sf_dir).filter(F.col(RESPONSE).isNotNull())
-        ranges = stage(evaluation.decile_ranges(evaluation.score_counts(rows, "score", RESPONSE)), "deciles")
+        ranges = stage(evaluation.decile_ranges(evaluation.ranked_scores(rows, "score", RESPONSE)), "deciles")
         return evaluation.decile_profile(evaluation.assign_deciles(rows, "score", ranges), ranges, columns)
 
 
@@ -959,7 +961,7 @@ def _(spark, sf_dir):
         done.prepared.train, numeric, categorical, RESPONSE, "account_id", b.OPTIONS.forest_trees[1], b.OPTIONS
     )
     parts = [
-        evaluation.gini(evaluation.score_counts(rows, forest.RAW, RESPONSE)).select(F.lit(label).alias("rows"), "gini")
+        evaluation.gini(evaluation.ranked_scores(rows, forest.RAW, RESPONSE)).select(F.lit(label).alias("rows"), "gini")
         for label, rows in (("train_out_of_fold", oof), ("test", done.tested))
     ]
     return parts[0].unionByName(parts[1])
@@ -985,7 +987,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     done = trained(spark, sf_dir)
     numeric, _ = forest.split_kinds(done.model.top, done.prepared.categorical)
-    counts = evaluation.score_counts(done.tested, training.CALIBRATED, RESPONSE)
+    counts = evaluation.ranked_scores(done.tested, training.CALIBRATED, RESPONSE)
     ranges = stage(evaluation.decile_ranges(counts), "deciles")
     rows = evaluation.assign_deciles(done.tested, training.CALIBRATED, ranges)
     return evaluation.decile_profile(rows, ranges, numeric)

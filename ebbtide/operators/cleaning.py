@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_missing
 from ..options import Options
 from .profiling import missing_share
-from .ranking import medians, reusable, value_counts
+from .ranking import medians, ranked_values, value_counts
 
 
 def complete_enough(df: DataFrame, variables: Sequence[str], options: Options) -> list[str]:
@@ -26,7 +26,7 @@ def learn_medians(df: DataFrame, numeric: Sequence[str]) -> dict[str, float]:
     """Exact medians by variable name."""
     if not numeric:
         return {}
-    rows = medians(reusable(value_counts(df, numeric))).collect()  # one row per variable
+    rows = medians(ranked_values(value_counts(df, numeric))).collect()  # one row per variable
     return {row["variable"]: row["median"] for row in rows}
 
 

@@ -1,7 +1,8 @@
 """Ranking quality, deciles, thresholds and score distribution.
 
-Rank measures start from one row per distinct score, so ties are handled exactly and the
-running totals of :mod:`ranking` keep any one task from holding all scores.
+Rank measures start from :func:`ranked_scores`, one row per distinct score with running class
+totals, so ties are handled exactly and no one task holds all scores. Compute it once and use
+it for all of them.
 """
 
 from __future__ import annotations
@@ -12,32 +13,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..options import Options
-from .ranking import quantile_group, ranked_values, reusable
+from .ranking import quantile_group, ranked_values
 
 
-def score_counts(df: DataFrame, score: str, response: str) -> DataFrame:
-    """Rows and classes per distinct score, computed once: ``variable, value, n, goods, bads``."""
+def ranked_scores(df: DataFrame, score: str, response: str) -> DataFrame:
+    """Rows and classes per distinct score (``value, n, goods, bads``), before it and in all."""
     y = F.col(response).cast("long")
-    return reusable(
+    counts = (
         df.filter(F.col(response).isNotNull() & F.col(score).isNotNull())
         .groupBy(F.col(score).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("goods"), F.sum(1 - y).alias("bads"))
         .select(F.lit(score).alias("variable"), "value", "n", "goods", "bads")
     )
+    return ranked_values(counts, ("n", "goods", "bads"))
 
 
-def gini(counts: DataFrame) -> DataFrame:
+def gini(ranked: DataFrame) -> DataFrame:
     """Somers' D of score against response (2 AUC - 1), rounded to 4 decimals; ties count half."""
-    ranked = ranked_values(counts, ("goods", "bads"))
     below = F.col("bads_before").cast("double") + F.col("bads") / F.lit(2.0)
     pairs = F.max("goods_total").cast("double") * F.max("bads_total").cast("double")
     won = F.sum(F.col("goods").cast("double") * below)
     return ranked.agg(F.round(2 * won / F.nullif(pairs, F.lit(0.0)) - 1, 4).alias("gini"))
 
 
-def cumulative_shares(counts: DataFrame) -> DataFrame:
+def cumulative_shares(ranked: DataFrame) -> DataFrame:
     """Share of goods and bads at or under each distinct score."""
-    ranked = ranked_values(counts, ("goods", "bads"))
     return ranked.select(
         F.col("value").alias("score"),
         ((F.col("goods_before") + F.col("goods")) / F.col("goods_total")).alias("cum_good"),
@@ -45,17 +45,16 @@ def cumulative_shares(counts: DataFrame) -> DataFrame:
     )
 
 
-def ks(counts: DataFrame) -> DataFrame:
+def ks(ranked: DataFrame) -> DataFrame:
     gap = F.abs(F.col("cum_good") - F.col("cum_bad"))
-    return cumulative_shares(counts).agg(F.max(gap).alias("ks"))
+    return cumulative_shares(ranked).agg(F.max(gap).alias("ks"))
 
 
-def roc_points(counts: DataFrame, positive: int = 1) -> DataFrame:
+def roc_points(ranked: DataFrame, positive: int = 1) -> DataFrame:
     """True and false positive rate when every score at or above ``score`` is called positive.
 
     ``positive=0`` takes the other class, for which low scores are the positive call.
     """
-    ranked = ranked_values(counts, ("goods", "bads"))
     if positive == 1:
         hit = (F.col("goods_total") - F.col("goods_before")) / F.col("goods_total")
         alarm = (F.col("bads_total") - F.col("bads_before")) / F.col("bads_total")
@@ -65,10 +64,9 @@ def roc_points(counts: DataFrame, positive: int = 1) -> DataFrame:
     return ranked.select(F.col("value").alias("score"), hit.alias("tpr"), alarm.alias("fpr"))
 
 
-def decile_ranges(counts: DataFrame, groups: int = 10) -> DataFrame:
+def decile_ranges(ranked: DataFrame, groups: int = 10) -> DataFrame:
     """At most ``groups`` rows: group number, score range, rows, goods and conversion."""
-    ranked = ranked_values(counts, ("n", "goods")).withColumn("decile", quantile_group(groups))
-    return ranked.groupBy("decile").agg(
+    return ranked.withColumn("decile", quantile_group(groups)).groupBy("decile").agg(
         F.min("value").alias("low"),
         F.max("value").alias("high"),
         F.sum("n").alias("n"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import level_counts, quantile_groups, reusable, value_counts
+from .ranking import level_counts, quantile_groups, ranked_values, reusable, value_counts
 
 
 def binned_numeric(df: DataFrame, numeric: Sequence[str], response: str, groups: int) -> DataFrame:
@@ -16,7 +16,8 @@ def binned_numeric(df: DataFrame, numeric: Sequence[str], response: str, groups:
     missing = counts.filter(F.col("value").isNull()).select(
         "variable", F.lit(None).cast("string").alias("bin"), "n", "goods"
     )
-    grouped = quantile_groups(counts, groups, ("n", "goods")).select(
+    ranked = ranked_values(counts, ("n", "goods"))
+    grouped = quantile_groups(ranked, groups, ("n", "goods")).select(
         "variable", F.col("bin").cast("string").alias("bin"), "n", "goods"
     )
     return grouped.unionByName(missing)

@@ -85,7 +85,7 @@ def numeric_profile(df: DataFrame, variables: Sequence[str]) -> DataFrame:
         .agg(*[F.sum(F.pow(off, p) * F.col("n")).alias(f"m{p}") for p in (2, 3, 4)])
     )
     order = order_statistics(ranked_values(counts))
-    spread = reusable(
+    spread = (
         present.join(F.broadcast(order.select("variable", "median")), "variable")
         .groupBy("variable", F.abs(F.col("value") - F.col("median")).alias("value"))
         .agg(F.sum("n").alias("n"))

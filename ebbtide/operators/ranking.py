@@ -3,7 +3,8 @@
 Everything here works on value counts: one row per variable and distinct value with its
 number of rows, built with map-side partial sums, so a value shared by a third of all rows
 is one row. Running totals over those counts are split by value range, so a variable with
-billions of distinct values is spread over many tasks.
+billions of distinct values is spread over many tasks. Ranked frames rest on rows written
+once; compute one and use it for several measures.
 """
 
 from __future__ import annotations
@@ -14,9 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_missing
-from ..session import cut
-
-RANGES = 64  # value ranges per variable; expected number, the split stays exact at any
+from ..session import cut, stage
 
 
 def value_counts(
@@ -27,10 +26,7 @@ def value_counts(
     Numeric variables only, as doubles. NULL and NaN are one value, NULL.
     """
     types = dict(df.dtypes)
-    columns = [
-        F.when(~is_missing(name, types[name]), F.col(name).cast("double")).alias(name)
-        for name in variables
-    ]
+    columns = [F.when(~is_missing(name, types[name]), F.col(name).cast("double")) for name in variables]
     return _counted(df, columns, variables, response)
 
 
@@ -38,77 +34,54 @@ def level_counts(
     df: DataFrame, variables: Sequence[str], response: str | None = None
 ) -> DataFrame:
     """The same for categories, whose ``value`` is text."""
-    columns = [F.col(name).cast("string").alias(name) for name in variables]
+    columns = [F.col(name).cast("string") for name in variables]
     return _counted(df, columns, variables, response)
 
 
 def _counted(df, columns, variables, response):
+    """Unpivot and count. Rows travel with a variable's number; its name is put back at the end."""
+    numbers = [str(place) for place in range(len(variables))]
     ids = [] if response is None else [F.col(response).cast("long").alias("_response")]
-    long_form = df.select(*ids, *columns).unpivot(
-        ["_response"] if ids else [], list(variables), "variable", "value"
+    short = [column.alias(number) for column, number in zip(columns, numbers)]
+    long_form = df.select(*ids, *short).unpivot(
+        ["_response"] if ids else [], numbers, "_number", "value"
     )
     sums = [F.count(F.lit(1)).alias("n")]
     if ids:
         sums.append(F.sum("_response").alias("goods"))
-    return long_form.groupBy("variable", "value").agg(*sums)
-
-
-def _ranges(counts: DataFrame, by: Sequence[str], order: str, ranges: int) -> DataFrame:
-    """One row per group: a sorted array of about ``ranges`` of its values.
-
-    A value is taken when its hash falls under ``ranges / number of values``: a pure function
-    of the data, so a recomputed task places every row as the lost one did.
-    """
-    sizes = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_values"))
-    spread = F.xxhash64(*by, order).bitwiseAND(F.lit(2**63 - 1)).cast("double") / F.lit(float(2**63))
-    return (
-        counts.select(*by, order)
-        .join(F.broadcast(sizes), list(by))
-        .filter(spread * F.col("_values") < ranges)
-        .groupBy(*by)
-        .agg(F.array_sort(F.collect_list(order)).alias("_cuts"))
-    )
+    name = F.element_at(F.array(*[F.lit(v) for v in variables]), F.col("_number").cast("int") + 1)
+    counted = long_form.groupBy("_number", "value").agg(*sums)
+    return counted.select(name.alias("variable"), *[c for c in counted.columns if c != "_number"])
 
 
 def running_totals(
-    counts: DataFrame,
-    by: Sequence[str],
-    order: str,
-    sums: Sequence[str],
-    ranges: int = RANGES,
+    counts: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], pieces: int | None = None
 ) -> DataFrame:
     """Add, for each of ``sums``, its total before the row and over the whole group.
 
-    ``order`` must be unique and not NULL within ``by``; ``counts`` is read several times, so
-    pass a frame whose plan has been cut. Steps: place rows in value ranges; total each range;
-    run those few totals along the ranges; run within each range. The broadcast sides hold one
-    row per group and one per group and range: groups are variables, so both are bounded by the
-    number of columns times ``ranges``.
+    ``order`` must be unique and not NULL within ``by``. Rows are range-partitioned on both, so
+    every piece is an even, contiguous part of the order whatever the groups' sizes, and the
+    placed rows are written once: all later steps see the same pieces, also after a lost
+    executor. Then each piece is totalled, those few totals (at most pieces plus groups) are run
+    along the order, and rows run within their piece.
     """
     by = list(by)
-    cuts = _ranges(counts, by, order, ranges)
-    none = F.array().cast(f"array<{dict(counts.dtypes)[order]}>")
-    placed = (
-        counts.join(F.broadcast(cuts), by, "left")
-        .withColumn(
-            "_range",
-            F.size(F.filter(F.coalesce("_cuts", none), lambda edge: edge <= F.col(order))),
-        )
-        .drop("_cuts")
-    )
-    totals = placed.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
-    along = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*by, order]
+    ranged = counts.repartitionByRange(pieces, *keys) if pieces else counts.repartitionByRange(*keys)
+    placed = stage(ranged.withColumn("_piece", F.spark_partition_id()), "ranked")
+    totals = placed.groupBy(*by, "_piece").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
+    along = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     starts = totals.select(
         *by,
-        "_range",
+        "_piece",
         *[F.coalesce(F.sum(f"_{s}").over(along), F.lit(0)).alias(f"_{s}_start") for s in sums],
         *[F.sum(f"_{s}").over(whole).alias(f"{s}_total") for s in sums],
     )
     inside = (
-        Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*by, "_piece").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    return placed.join(F.broadcast(starts), by + ["_range"]).select(
+    return placed.join(F.broadcast(starts), by + ["_piece"]).select(
         *counts.columns,
         *[
             (F.col(f"_{s}_start") + F.coalesce(F.sum(s).over(inside), F.lit(0))).alias(f"{s}_before")
@@ -128,19 +101,18 @@ def quantile_group(groups: int):
     return F.floor(F.col("n_before") * groups / F.col("n_total")).cast("int") + 1
 
 
-def quantile_groups(counts: DataFrame, groups: int, sums: Sequence[str] = ("n",)) -> DataFrame:
+def quantile_groups(ranked: DataFrame, groups: int, sums: Sequence[str] = ("n",)) -> DataFrame:
     """``variable, bin`` with the value range and the summed counts of each group."""
-    ranked = ranked_values(counts, sums).withColumn("bin", quantile_group(groups))
-    return ranked.groupBy("variable", "bin").agg(
+    return ranked.withColumn("bin", quantile_group(groups)).groupBy("variable", "bin").agg(
         F.min("value").alias("low"),
         F.max("value").alias("high"),
         *[F.sum(s).alias(s) for s in sums],
     )
 
 
-def medians(counts: DataFrame) -> DataFrame:
-    """Exact median of each variable's non-NULL values, the middle two averaged."""
-    return order_statistics(ranked_values(counts)).select("variable", "median")
+def medians(ranked: DataFrame) -> DataFrame:
+    """Exact median of each variable's values, the middle two averaged."""
+    return order_statistics(ranked).select("variable", "median")
 
 
 def _value_at(position):

@@ -19,7 +19,7 @@ def scored(spark, pairs):
 
 
 def counts(spark, pairs):
-    return ev.score_counts(scored(spark, pairs), "score", "Response")
+    return ev.ranked_scores(scored(spark, pairs), "score", "Response")
 
 
 def test_zero_cell_adds_nothing(spark):
@@ -86,7 +86,7 @@ def test_gini_agrees_with_mllib(spark):
     rng = random.Random(2)
     df = scored(spark, [(rng.random(), int(rng.random() < 0.4)) for _ in range(500)])
     auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="Response").evaluate(df)
-    got = ev.gini(ev.score_counts(df, "score", "Response")).first()["gini"]
+    got = ev.gini(ev.ranked_scores(df, "score", "Response")).first()["gini"]
     assert math.isclose(got, 2 * auc - 1, abs_tol=1e-4)
 
 
@@ -134,7 +134,7 @@ def test_deciles(spark):
 
 def test_decile_profile_numbers_without_gaps(spark):
     df = spark.createDataFrame([(1.0, 0, 10.0)] * 20 + [(2.0, 1, 30.0)] * 5, "score double, Response int, v double")
-    ranges = ev.decile_ranges(ev.score_counts(df, "score", "Response"))
+    ranges = ev.decile_ranges(ev.ranked_scores(df, "score", "Response"))
     words = spark.createDataFrame([("v", "a value"), ("w", "other")], "variable string, definition string")
     got = ev.decile_profile(ev.assign_deciles(df, "score", ranges), ranges, ["v"], words).collect()
     assert len(got) == 1

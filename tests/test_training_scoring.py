@@ -73,9 +73,9 @@ def test_preparation(frame):
 def test_learning_and_calibration(trained):
     model = trained.model
     assert "strong" in model.top and len(model.top) <= 3
-    table = ev.score_counts(trained.tested, training.CALIBRATED, "Response")
+    table = ev.ranked_scores(trained.tested, training.CALIBRATED, "Response")
     assert ev.gini(table).first()["gini"] > 0.5
-    raw = ev.score_counts(trained.tested, forest.RAW, "Response")
+    raw = ev.ranked_scores(trained.tested, forest.RAW, "Response")
     assert ev.gini(raw).first()["gini"] == ev.gini(table).first()["gini"]  # calibration keeps the order
     row = trained.tested.agg(F.avg("Response"), F.avg(training.CALIBRATED)).first()
     assert abs(row[0] - row[1]) < 0.01
@@ -105,14 +105,14 @@ def test_out_of_fold(trained):
     numeric, categorical = forest.split_kinds(trained.model.top, sets.categorical)
     scored = forest.out_of_fold_scores(sets.train, numeric, categorical, "Response", "account_id", 5, OPTIONS)
     assert scored.count() == sets.train.count() == scored.select("account_id").distinct().count()
-    assert ev.gini(ev.score_counts(scored, forest.RAW, "Response")).first()["gini"] > 0.4
+    assert ev.gini(ev.ranked_scores(scored, forest.RAW, "Response")).first()["gini"] > 0.4
 
 
 def test_boosted_challenger(trained):
     sets = trained.prepared
     model = forest.fit_boosted(sets.train, sets.numeric, sets.categorical, "Response", OPTIONS)
     scored = forest.add_scores(sets.test, model, "boosted")
-    assert ev.gini(ev.score_counts(scored, "boosted", "Response")).first()["gini"] > 0.5
+    assert ev.gini(ev.ranked_scores(scored, "boosted", "Response")).first()["gini"] > 0.5
 
 
 def test_calibration_holdout(frame, trained):
