@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbtide.functions.describe import definitions
 from ebbtide.functions.text import KEYWORDS
 from ebbtide.operators import (
     activity,
@@ -990,7 +991,7 @@ def _(spark, sf_dir):
     counts = evaluation.ranked_scores(done.tested, training.CALIBRATED, RESPONSE)
     ranges = stage(evaluation.decile_ranges(counts), "deciles")
     rows = evaluation.assign_deciles(done.tested, training.CALIBRATED, ranges)
-    return evaluation.decile_profile(rows, ranges, numeric)
+    return evaluation.decile_profile(rows, ranges, numeric, definitions(spark, numeric))
 
 
 @add("boosted_challenger", None)

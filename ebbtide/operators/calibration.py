@@ -36,7 +36,10 @@ def fit_calibration(df: DataFrame, raw: str, response: str) -> Calibration:
 def learn_cut_points(
     df: DataFrame, score: str, response: str, min_share: float, depth: int = 4, candidates: int = 256
 ) -> list[float]:
-    """Score cuts of a one-variable classification tree, each bin holding ``min_share`` of rows."""
+    """Upper score of every bin but the last: the leaves of a one-variable classification tree.
+
+    Each leaf holds at least ``min_share`` of the rows, so there are at most ``2 ** depth``.
+    """
     rows = df.filter(F.col(response).isNotNull() & F.col(score).isNotNull()).select(
         F.col(score), F.col(response).cast("double").alias("label")
     )
@@ -47,21 +50,16 @@ def learn_cut_points(
         minWeightFractionPerNode=min_share,
         minInfoGain=1e-6,
         impurity="entropy",
+        leafCol="leaf",
         seed=1,
     ).fit(vectors)
-    return sorted(set(_thresholds(tree._java_obj.rootNode())))
-
-
-def _thresholds(node) -> list[float]:
-    if node.subtreeDepth() == 0:
-        return []
-    here = [float(node.split().threshold())]
-    return here + _thresholds(node.leftChild()) + _thresholds(node.rightChild())
+    leaves = tree.transform(vectors).groupBy("leaf").agg(F.max(score).alias("upper")).collect()
+    return sorted(float(leaf["upper"]) for leaf in leaves)[:-1]
 
 
 def score_bins(df: DataFrame, score: str, response: str, cuts: list[float]) -> DataFrame:
     """Count, rates, WOE and IV of the bins (previous cut, cut]."""
-    place = sum((F.when(F.col(score) > F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+    place: Column = sum((F.when(F.col(score) > F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
     upper = F.try_element_at(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), F.col("bin").cast("int"))
     counts = (
         df.filter(F.col(response).isNotNull() & F.col(score).isNotNull())

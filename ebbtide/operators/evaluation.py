@@ -40,8 +40,8 @@ def cumulative_shares(ranked: DataFrame) -> DataFrame:
     """Share of goods and bads at or under each distinct score."""
     return ranked.select(
         F.col("value").alias("score"),
-        ((F.col("goods_before") + F.col("goods")) / F.col("goods_total")).alias("cum_good"),
-        ((F.col("bads_before") + F.col("bads")) / F.col("bads_total")).alias("cum_bad"),
+        F.try_divide(F.col("goods_before") + F.col("goods"), "goods_total").alias("cum_good"),
+        F.try_divide(F.col("bads_before") + F.col("bads"), "bads_total").alias("cum_bad"),
     )
 
 
@@ -56,11 +56,11 @@ def roc_points(ranked: DataFrame, positive: int = 1) -> DataFrame:
     ``positive=0`` takes the other class, for which low scores are the positive call.
     """
     if positive == 1:
-        hit = (F.col("goods_total") - F.col("goods_before")) / F.col("goods_total")
-        alarm = (F.col("bads_total") - F.col("bads_before")) / F.col("bads_total")
+        hit = F.try_divide(F.col("goods_total") - F.col("goods_before"), "goods_total")
+        alarm = F.try_divide(F.col("bads_total") - F.col("bads_before"), "bads_total")
     else:
-        hit = (F.col("bads_before") + F.col("bads")) / F.col("bads_total")
-        alarm = (F.col("goods_before") + F.col("goods")) / F.col("goods_total")
+        hit = F.try_divide(F.col("bads_before") + F.col("bads"), "bads_total")
+        alarm = F.try_divide(F.col("goods_before") + F.col("goods"), "goods_total")
     return ranked.select(F.col("value").alias("score"), hit.alias("tpr"), alarm.alias("fpr"))
 
 
@@ -238,4 +238,4 @@ def adjust_level(scored: DataFrame, tested: DataFrame, score: str, name: str) ->
     """Scale scores by mean(test) / mean(scored), taken as two scalar subqueries."""
     target = tested.agg(F.avg(score)).scalar()
     actual = scored.agg(F.avg(score)).scalar()
-    return scored.withColumn(name, F.col(score) * (target / actual))
+    return scored.withColumn(name, F.col(score) * F.try_divide(target, actual))

@@ -83,7 +83,7 @@ def keyword_features(cohort: DataFrame, days: DataFrame, options: Options) -> Da
 
     A semi join: an account id with several keys and overlapping windows counts a message once.
     """
-    windows = cohort.select("account_id", "first_usage_units")
+    windows = cohort.select("account_id", "first_usage_units").distinct()
     first = F.col("first_usage_units")
     inside = (
         (F.col("fact_key") == F.col("account_id"))

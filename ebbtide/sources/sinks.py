@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .schemas import SCORES, column_names
 
 
@@ -58,11 +60,12 @@ def append_scores(scores: DataFrame, table: str) -> DataFrame:
     """Append the first score of each account to the catalogue table and return the table.
 
     An account repeated within ``scores`` fails the whole write. Accounts scored before are
-    left out, so a job run again after a failure adds only what is missing.
+    left out, so a job run again after a failure adds only what is missing. The new rows are
+    written to the shared folder first: scoring runs once for the check and the write.
     """
     spark = scores.sparkSession
     create_score_table(spark, table)
-    rows = assert_unique(_score_rows(scores), ["account_id"])
+    rows = assert_unique(stage(_score_rows(scores), "scores"), ["account_id"])
     fresh = unscored(rows, spark.table(table))
     fresh.select(*spark.table(table).columns).write.insertInto(table)
     return spark.table(table)
@@ -71,18 +74,22 @@ def append_scores(scores: DataFrame, table: str) -> DataFrame:
 def append_scores_path(scores: DataFrame, path: str) -> DataFrame:
     """The same for a Parquet folder partitioned by date."""
     spark = scores.sparkSession
-    rows = assert_unique(_score_rows(scores), ["account_id"])
-    if _exists(spark, path):
-        rows = unscored(rows, spark.read.schema(SCORES).parquet(path))
-    rows.write.mode("append").partitionBy("efft_d").parquet(path)
+    rows = assert_unique(stage(_score_rows(scores), "scores"), ["account_id"])
+    existing = _stored_scores(spark, path)
+    fresh = rows if existing is None else unscored(rows, existing)
+    fresh.write.mode("append").partitionBy("efft_d").parquet(path)
     return spark.read.schema(SCORES).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _stored_scores(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(SCORES).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV part files with a header. Text is quoted so that it reads back unchanged."""
-    df.write.mode("overwrite").csv(path, header=True, nullValue="NA", escape='"', quoteAll=False)
+    df.write.mode("overwrite").csv(path, header=True, nullValue="NA", escape='"')

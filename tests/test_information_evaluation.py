@@ -181,3 +181,19 @@ def test_optimal_bins(spark):
 def test_level_adjustment(spark):
     got = ev.adjust_level(scored(spark, [(0.2, 0), (0.4, 0)]), scored(spark, [(0.6, 0)]), "score", "a").collect()
     assert sorted(round(row["a"], 9) for row in got) == [0.4, 0.8]
+
+
+def test_one_class_gives_null_not_an_error(spark):
+    table = counts(spark, [(0.1, 1), (0.2, 1)])
+    assert ev.ks(table).first()["ks"] is None
+    assert all(row["fpr"] is None for row in ev.roc_points(table).collect())
+    assert all(row["tpr"] is None for row in ev.roc_points(table, 0).collect())
+    assert ev.gini(table).first()["gini"] is None
+
+
+def test_definitions(spark):
+    from ebbtide.functions.describe import definition
+
+    assert definition("uu_d3") == "usage units on day 3"
+    assert "auction" in definition("tm_auction")
+    assert definition("contacts") is None
