@@ -544,7 +544,7 @@ def _imputed_sql(source: str) -> str:
 
 @once
 def learnt_medians(spark, sf_dir) -> dict:
-    return cleaning.learn_medians(train_rows(spark, sf_dir), IMPUTED)
+    return cleaning.learn_medians(ranking.value_counts(train_rows(spark, sf_dir), IMPUTED))
 
 
 def _imputed(spark, sf_dir, rows):
@@ -1052,7 +1052,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Two runs of the same day leave one score per account."""
     path = f"{shared_folder(spark)}/sink-{uuid.uuid4().hex}"
-    rows = scoring.score_output(scoring_rows(spark, sf_dir), batch_scores(spark, sf_dir), EFFECTIVE)
+    rows = scoring.score_cohort(b.inputs(spark, sf_dir), trained(spark, sf_dir).model, EFFECTIVE)
     sinks.append_scores_path(rows, path)
     return sinks.append_scores_path(rows, path)
 

@@ -2,7 +2,7 @@
 
 from .options import Options
 from .plans.features import Inputs, scoring_frame, training_frame
-from .plans.scoring import cohort_export, score_accounts, score_output
+from .plans.scoring import cohort_export, score_accounts, score_cohort, score_output
 from .plans.training import prepare, train
 from .sources.project import load_project, save_project
 
@@ -14,6 +14,7 @@ __all__ = [
     "prepare",
     "save_project",
     "score_accounts",
+    "score_cohort",
     "score_output",
     "scoring_frame",
     "train",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_missing
 from ..options import Options
 from .profiling import missing_share
-from .ranking import medians, ranked_values, value_counts
+from .ranking import medians, ranked_values
 
 
 def complete_enough(df: DataFrame, variables: Sequence[str], options: Options) -> list[str]:
@@ -22,11 +22,9 @@ def complete_enough(df: DataFrame, variables: Sequence[str], options: Options) -
     return [name for name in variables if not share[name] or share[name] <= options.max_missing_share]
 
 
-def learn_medians(df: DataFrame, numeric: Sequence[str]) -> dict[str, float]:
-    """Exact medians by variable name."""
-    if not numeric:
-        return {}
-    rows = medians(ranked_values(value_counts(df, numeric))).collect()  # one row per variable
+def learn_medians(counts: DataFrame) -> dict[str, float]:
+    """Exact medians by variable name, from value counts."""
+    rows = medians(ranked_values(counts)).collect()  # one row per variable
     return {row["variable"]: row["median"] for row in rows}
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,22 +12,40 @@ from .ranking import level_counts, quantile_groups, ranked_values, reusable, val
 
 def binned_numeric(df: DataFrame, numeric: Sequence[str], response: str, groups: int) -> DataFrame:
     """``variable, bin, n, goods`` over quantile groups."""
-    counts = reusable(value_counts(df.filter(F.col(response).isNotNull()), numeric, response))
-    missing = counts.filter(F.col("value").isNull()).select(
+    return binned_counts(reusable(value_counts(df, numeric, response)), groups)
+
+
+def binned_counts(counts: DataFrame, groups: int) -> DataFrame:
+    """The same from value counts that exist already. Rows without a response are left out."""
+    known = counts.filter("known > 0").select("variable", "value", F.col("known").alias("n"), "goods")
+    missing = known.filter(F.col("value").isNull()).select(
         "variable", F.lit(None).cast("string").alias("bin"), "n", "goods"
     )
-    ranked = ranked_values(counts, ("n", "goods"))
-    grouped = quantile_groups(ranked, groups, ("n", "goods")).select(
-        "variable", F.col("bin").cast("string").alias("bin"), "n", "goods"
+    grouped = quantile_groups(ranked_values(known, ("n", "goods")), groups, ("n", "goods"))
+    return grouped.select("variable", F.col("bin").cast("string").alias("bin"), "n", "goods").unionByName(
+        missing
+    )
+
+
+def imputed_counts(counts: DataFrame, median_of: Mapping[str, float]) -> DataFrame:
+    """Value counts as they are after median imputation, without another pass over the rows."""
+    fill = counts.sparkSession.createDataFrame(
+        [(name, value) for name, value in median_of.items()], "variable string, fill double"
+    )
+    # one row per variable
+    return (
+        counts.join(F.broadcast(fill), "variable", "left")
+        .groupBy("variable", F.coalesce("value", "fill").alias("value"))
+        .agg(*[F.sum(name).alias(name) for name in ("n", "known", "goods")])
     )
-    return grouped.unionByName(missing)
 
 
 def binned_categories(df: DataFrame, categorical: Sequence[str], response: str) -> DataFrame:
     """The same with every level as its own bin."""
-    known = df.filter(F.col(response).isNotNull())
-    return level_counts(known, categorical, response).withColumnRenamed("value", "bin").select(
-        "variable", "bin", "n", "goods"
+    return (
+        level_counts(df, categorical, response)
+        .filter("known > 0")
+        .select("variable", F.col("value").alias("bin"), F.col("known").alias("n"), "goods")
     )
 
 

@@ -21,9 +21,9 @@ from ..session import cut, stage
 def value_counts(
     df: DataFrame, variables: Sequence[str], response: str | None = None
 ) -> DataFrame:
-    """Rows per variable and value: ``variable, value, n`` and, with a response, ``goods``.
+    """Rows per variable and value: ``variable, value, n``.
 
-    Numeric variables only, as doubles. NULL and NaN are one value, NULL.
+    With a response also ``known`` (rows that have one) and ``goods`` (their sum). Numeric variables only, as doubles. NULL and NaN are one value, NULL.
     """
     types = dict(df.dtypes)
     columns = [F.when(~is_missing(name, types[name]), F.col(name).cast("double")) for name in variables]
@@ -48,7 +48,7 @@ def _counted(df, columns, variables, response):
     )
     sums = [F.count(F.lit(1)).alias("n")]
     if ids:
-        sums.append(F.sum("_response").alias("goods"))
+        sums += [F.count("_response").alias("known"), F.sum("_response").alias("goods")]
     name = F.element_at(F.array(*[F.lit(v) for v in variables]), F.col("_number").cast("int") + 1)
     counted = long_form.groupBy("_number", "value").agg(*sums)
     return counted.select(name.alias("variable"), *[c for c in counted.columns if c != "_number"])

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
 from ..operators import cleaning, forest, levels
+from ..session import stage
 from ..sources.project import PropensityModel
 from ..sources.schemas import require, require_rows
+from .features import Inputs, scoring_frame
 from .training import CALIBRATED
 
 
@@ -21,7 +23,7 @@ def score_accounts(frame: DataFrame, model: PropensityModel) -> DataFrame:
     training, score, calibrate. Nothing is shuffled and no row reaches the driver.
     """
     options = model.options
-    require_rows(require(frame, options.id_column), "scoring frame")
+    require(frame, options.id_column, *model.numeric, *model.categorical)
     cleaned = cleaning.apply_cleaning(
         frame, [options.id_column], model.numeric, model.categorical, model.medians, options
     )
@@ -41,6 +43,18 @@ def score_output(frame: DataFrame, scored: DataFrame, efft_d: dt.date | None = N
     )
 
 
+def score_cohort(
+    inputs: Inputs, model: PropensityModel, efft_d: dt.date | None = None, anchor: dt.date | None = None
+) -> DataFrame:
+    """The daily job: rows of the score table for the current scoring cohort.
+
+    The feature frame is written once, since scoring and output both read it.
+    """
+    frame = stage(scoring_frame(inputs, model.options, anchor), "scoring")
+    require_rows(frame, "the scoring cohort")
+    return score_output(frame, score_accounts(frame, model), efft_d)
+
+
 def cohort_export(frame: DataFrame, scored: DataFrame, model: PropensityModel) -> DataFrame:
     """Scored accounts with their top variables as they were before cleaning."""
     return frame.join(scored.select("account_id", CALIBRATED), "account_id").select(

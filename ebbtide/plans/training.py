@@ -9,9 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import calibration, cleaning, forest, information, levels, profiling, splitting
+from ..operators import calibration, cleaning, forest, information, levels, profiling, ranking, splitting
 from ..options import Options
-from ..session import stage
+from ..session import cut, stage
 from ..sources.project import PropensityModel
 from ..sources.schemas import require, require_rows
 
@@ -55,7 +55,8 @@ def prepare(frame: DataFrame, options: Options, keep: Sequence[str] = ()) -> Pre
 
     numeric = cleaning.complete_enough(train_rows, profiling.names_of(roles, "num"), options)
     categorical = cleaning.complete_enough(train_rows, profiling.names_of(roles, "cat"), options)
-    medians = cleaning.learn_medians(train_rows, numeric)
+    counts = stage(ranking.value_counts(train_rows, numeric, RESPONSE), "counts") if numeric else None
+    medians = {} if counts is None else cleaning.learn_medians(counts)
     keys = [RESPONSE, options.id_column, *keep]
 
     def clean(rows: DataFrame) -> DataFrame:
@@ -68,7 +69,14 @@ def prepare(frame: DataFrame, options: Options, keep: Sequence[str] = ()) -> Pre
     score = levels.keep_known(clean(splitting.by_role(staged, "sc")), known)
     log.info("final sets done")
 
-    bins = information.binned(train, numeric, categorical, RESPONSE, options.iv_groups)
+    if options.downsample or not numeric or not categorical:
+        bins = information.binned(train, numeric, categorical, RESPONSE, options.iv_groups)
+    else:
+        # the counts behind the medians serve again: the rows are not unpivoted twice
+        filled = information.imputed_counts(counts, medians if options.impute_median else {})
+        bins = information.binned_counts(cut(filled), options.iv_groups).unionByName(
+            information.binned_categories(train, categorical, RESPONSE)
+        )
     iv = stage(information.iv_report(information.woe_table(bins)), "iv")
     failed = {row["variable"] for row in information.iv_failures(iv, options.iv_floor).collect()}
     log.info("variable reduction done: %d variables dropped", len(failed))

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -63,6 +64,30 @@ def test_repeated_account_key_is_refused(spark):
         training_frame(source, dt.date(2019, 1, 1), OPTIONS)
 
 
+def test_a_hot_account(spark):
+    """A third of all rows under one account, copies included, against plain sums."""
+    n = 6000
+    facts = [
+        (21 if i % 3 == 0 else 22, epoch(2018, 6, 1 + i % 9, 1, 0), "sms" if i % 2 else "MMS", 1.0, 0.5) for i in range(n)
+    ]
+    sent = [
+        (i, 7 if i % 3 == 0 else 8, 2, "call" if i % 5 else "vote", 1.0, dt.datetime(2018, 6, 1 + i % 9, i % 4))
+        for i in range(n)
+    ]
+    source = inputs(spark, account(1, account_id=7, last_usage_units=FIRST), account(2, account_id=8, last_usage_units=FIRST))
+    source = dataclasses.replace(source, usage_fact=usage(spark, *facts), messages=messages(spark, *sent))
+    got = keyed(training_frame(source, dt.date(2019, 1, 1), OPTIONS), "account_key")
+    for key, fact_key, user in ((1, 21, 7), (2, 22, 8)):
+        for day in range(7):
+            mine = [f for f in facts if f[0] == fact_key and f[1] == epoch(2018, 6, 1 + day, 1, 0)]
+            assert got[key][f"uu_d{day + 1}"] == float(len(mine))
+            posts = [m for m in sent if m[1] == user and m[5].day == 1 + day]
+            assert (got[key][f"capn_d{day + 1}"], got[key][f"rpct_d{day + 1}"]) == (len(posts), 2 * len(posts))
+        unique = {m[3:] for m in sent if m[1] == user and m[5].day <= 7}
+        assert got[key]["tm_call"] == float(sum(m[0] == "call" for m in unique))
+        assert got[key]["tm_vote"] == float(sum(m[0] == "vote" for m in unique))
+
+
 def test_name_words(spark):
     rows = [(1, "Joe's Pizza, Inc. 24"), (2, None), (3, ""), (4, "NA"), (5, "The Pizza pizza")]
     df = spark.createDataFrame(rows, "account_id long, company_name string")

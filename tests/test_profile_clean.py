@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from ebbtide import Options
-from ebbtide.operators import cleaning, levels, profiling, splitting
+from ebbtide.operators import cleaning, levels, profiling, ranking, splitting
 
 from samples import keyed
 
@@ -65,7 +65,7 @@ def test_missing_edge(spark):
 
 def test_imputation_and_idempotence(spark):
     df = spark.createDataFrame([(1, 1.0, "a"), (2, None, None), (3, 3.0, "b"), (4, 10.0, "b"), (5, 2.0, "a")], "id long, x double, c string")
-    medians = cleaning.learn_medians(df, ["x"])
+    medians = cleaning.learn_medians(ranking.value_counts(df, ["x"]))
     assert medians == {"x": 2.5}
     clean = cleaning.apply_cleaning(df, ["id"], ["x"], ["c"], medians, OPTIONS)
     got = keyed(clean, "id")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide import Options, load_project, prepare, save_project, score_accounts, score_output, train
-from ebbtide.operators import components, evaluation as ev, forest
+from ebbtide.operators import components, evaluation as ev, forest, information
 from ebbtide.plans import scoring, training
 from ebbtide.sources import readers, sinks
 
@@ -70,6 +70,21 @@ def test_preparation(frame):
     assert set(sets.train.columns) == set(sets.test.columns) == set(sets.score.columns)
 
 
+def test_information_value_of_imputed_rows(spark, frame):
+    """IV from the counts behind the medians equals IV of the cleaned training rows."""
+    sets = prepare(frame, OPTIONS.replace(iv_floor=-1.0))
+    bins = information.binned(sets.train, sets.numeric, sets.categorical, "Response", 10)
+    direct = keyed(information.information_values(information.woe_table(bins)), "variable")
+    assert set(direct) == {"strong", "noise", "kind"}
+    for name, row in keyed(sets.iv, "variable").items():
+        assert abs(row["iv"] - direct[name]["iv"]) < 1e-12
+
+
+def test_downsampled_preparation(frame):
+    sets = prepare(frame, OPTIONS.replace(downsample=True, downsample_share=0.5))
+    assert 0 < sets.train.count() < 450 and sets.iv.count() == 3
+
+
 def test_learning_and_calibration(trained):
     model = trained.model
     assert "strong" in model.top and len(model.top) <= 3
@@ -153,7 +168,7 @@ def test_scoring_needs_no_shuffle(frame, trained):
 
 def test_guards(frame, trained):
     with pytest.raises(ValueError, match="has no rows"):
-        score_accounts(frame.filter("false"), trained.model)
+        prepare(frame.filter("md_sc_f = 'sc'"), OPTIONS)
     with pytest.raises(ValueError, match="lacks columns"):
         score_accounts(frame.drop("account_id"), trained.model)
     with pytest.raises(ValueError, match="md_sc_f"):
