@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from ebbtide.functions.text import KEYWORDS
+from ebbtide.operators.cohort import LEADING, MIDDLE, TRAILING
 
 from .bindings import OPTIONS
 
@@ -27,24 +28,10 @@ def keyword_case(name: str, message: str = "lower(message)", paid: str = "paid")
 SUMMED = [name for name in KEYWORDS if name != "tm_test"]
 PAID = "coalesce(try_cast(credits as double), 0.0)"
 
-LEADING = [
-    "account_key", "site", "account_id", "first_usage_units", "last_usage_units", "company_name",
-    "company_id",
+COHORT_COLUMNS = [
+    *LEADING, "usage", *MIDDLE, "start_month", "is_api", "is_api_developer", "first_usage_units_month",
+    *TRAILING, "phone_f", "email_f",
 ]
-MIDDLE = [
-    "phone", "email", "attribution_source", "mobile_signup", "brand_used", "industry", "city",
-    "state", "country",
-]
-TRAILING = [
-    "first_month_revenue", "contacts", "number_of_contacts", "is_freemium_at_signup",
-    "customer_satisfaction_pendo", "customer_service_survey_rating", "keywords_all",
-    "keywords_purchased", "keyword_optins", "sms_keyword_in", "primary_sms_usecase",
-    "example_sms", "google_sms_example", "google_sms_class", "google_sms_class_confidence",
-]
-COHORT_COLUMNS = (
-    LEADING + ["usage"] + MIDDLE + ["start_month", "is_api", "is_api_developer", "first_usage_units_month"]
-    + TRAILING + ["phone_f", "email_f"]
-)
 
 
 def _cohort(window: str = "") -> str:
