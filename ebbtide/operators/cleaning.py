@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_missing
 from ..options import Options
 from .profiling import missing_share
-from .ranking import medians, ranked_values
+from .ranking import medians, ranked_values, sketched_quantiles
 
 
 def complete_enough(df: DataFrame, variables: Sequence[str], options: Options) -> list[str]:
@@ -28,6 +28,11 @@ def learn_medians(counts: DataFrame) -> dict[str, float]:
     return {row["variable"]: row["median"] for row in rows}
 
 
+def sketch_medians(df: DataFrame, numeric: Sequence[str]) -> dict[str, float]:
+    """Approximate medians from one pass; no value is shuffled."""
+    return {name: value for name, (value,) in sketched_quantiles(df, numeric, [0.5]).items()}
+
+
 def apply_cleaning(
     df: DataFrame,
     keys: Sequence[str],

@@ -7,7 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import level_counts, quantile_groups, ranked_values, reusable, value_counts
+from ..functions.text import is_missing
+from .ranking import (
+    level_counts,
+    quantile_groups,
+    ranked_values,
+    reusable,
+    sketched_quantiles,
+    value_counts,
+)
 
 
 def binned_numeric(df: DataFrame, numeric: Sequence[str], response: str, groups: int) -> DataFrame:
@@ -27,6 +35,31 @@ def binned_counts(counts: DataFrame, groups: int) -> DataFrame:
     )
 
 
+def sketch_binned_numeric(
+    df: DataFrame, numeric: Sequence[str], response: str, groups: int
+) -> DataFrame:
+    """Quantile groups cut at approximate quantiles.
+
+    One pass for the cuts, one for the counts; rows become bin numbers before they are counted,
+    so at most ``groups + 1`` rows per variable and task are shuffled.
+    """
+    known = df.filter(F.col(response).isNotNull())
+    cuts = sketched_quantiles(known, numeric, [j / groups for j in range(1, groups)])
+    types = dict(df.dtypes)
+    columns = []
+    for name in numeric:
+        value = F.col(name).cast("double")
+        # ties keep together: a cut met twice moves the bin by two, and numbers skip
+        place = sum((F.when(value > F.lit(cut), 1).otherwise(0) for cut in cuts.get(name, [])), F.lit(1))
+        columns.append(F.when(~is_missing(name, types[name]), place).alias(name))
+    return (
+        known.select(F.col(response).cast("long").alias("_response"), *columns)
+        .unpivot(["_response"], list(numeric), "variable", "place")
+        .groupBy("variable", F.col("place").cast("string").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("_response").alias("goods"))
+    )
+
+
 def imputed_counts(counts: DataFrame, median_of: Mapping[str, float]) -> DataFrame:
     """Value counts as they are after median imputation, without another pass over the rows."""
     fill = counts.sparkSession.createDataFrame(
@@ -49,14 +82,15 @@ def binned_categories(df: DataFrame, categorical: Sequence[str], response: str)
     )
 
 
-def binned(df, numeric, categorical, response, groups) -> DataFrame:
-    if not categorical:
-        return binned_numeric(df, numeric, response, groups)
-    if not numeric:
-        return binned_categories(df, categorical, response)
-    return binned_numeric(df, numeric, response, groups).unionByName(
-        binned_categories(df, categorical, response)
-    )
+def binned(df, numeric, categorical, response, groups, exact: bool = True) -> DataFrame:
+    """Bins of all variables, numeric ones in exact or approximate quantile groups."""
+    parts = []
+    if numeric:
+        group = binned_numeric if exact else sketch_binned_numeric
+        parts.append(group(df, numeric, response, groups))
+    if categorical:
+        parts.append(binned_categories(df, categorical, response))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def woe_table(bins: DataFrame) -> DataFrame:

@@ -56,6 +56,7 @@ class Options:
     downsample_seed: int = 13579
     downsample_share: float = 0.10
     stratified_downsample: bool = False
+    exact_quantiles: bool = True  # False: medians and IV groups from mergeable sketches
     iv_groups: int = 10
     iv_floor: float = 0.01
 

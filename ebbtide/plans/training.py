@@ -55,8 +55,13 @@ def prepare(frame: DataFrame, options: Options, keep: Sequence[str] = ()) -> Pre
 
     numeric = cleaning.complete_enough(train_rows, profiling.names_of(roles, "num"), options)
     categorical = cleaning.complete_enough(train_rows, profiling.names_of(roles, "cat"), options)
-    counts = stage(ranking.value_counts(train_rows, numeric, RESPONSE), "counts") if numeric else None
-    medians = {} if counts is None else cleaning.learn_medians(counts)
+    counts = None
+    medians: dict[str, float] = {}
+    if numeric and options.exact_quantiles:
+        counts = stage(ranking.value_counts(train_rows, numeric, RESPONSE), "counts")
+        medians = cleaning.learn_medians(counts)
+    elif numeric:
+        medians = cleaning.sketch_medians(train_rows, numeric)
     keys = [RESPONSE, options.id_column, *keep]
 
     def clean(rows: DataFrame) -> DataFrame:
@@ -69,8 +74,10 @@ def prepare(frame: DataFrame, options: Options, keep: Sequence[str] = ()) -> Pre
     score = levels.keep_known(clean(splitting.by_role(staged, "sc")), known)
     log.info("final sets done")
 
-    if options.downsample or not numeric or not categorical:
-        bins = information.binned(train, numeric, categorical, RESPONSE, options.iv_groups)
+    if options.downsample or counts is None or not categorical:
+        bins = information.binned(
+            train, numeric, categorical, RESPONSE, options.iv_groups, options.exact_quantiles
+        )
     else:
         # the counts behind the medians serve again: the rows are not unpivoted twice
         filled = information.imputed_counts(counts, medians if options.impute_median else {})

@@ -197,3 +197,12 @@ def test_definitions(spark):
     assert definition("uu_d3") == "usage units on day 3"
     assert "auction" in definition("tm_auction")
     assert definition("contacts") is None
+
+
+def test_sketched_groups_equal_exact_ones(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 1.0, 2.0, 2.0, 2.0, 3.5, rng.random() * 9]), rng.randint(0, 1)) for _ in range(700)]
+    df = spark.createDataFrame(rows + [(5.0, None)], "x double, Response int")
+    exact = sorted((r["n"], r["goods"]) for r in information.binned_numeric(df, ["x"], "Response", 10).collect())
+    rough = sorted((r["n"], r["goods"]) for r in information.sketch_binned_numeric(df, ["x"], "Response", 10).collect())
+    assert exact == rough

@@ -80,6 +80,16 @@ def test_information_value_of_imputed_rows(spark, frame):
         assert abs(row["iv"] - direct[name]["iv"]) < 1e-12
 
 
+def test_sketches_agree_on_small_data(frame):
+    exact = prepare(frame, OPTIONS.replace(iv_floor=-1.0))
+    rough = prepare(frame, OPTIONS.replace(iv_floor=-1.0, exact_quantiles=False))
+    assert abs(exact.medians["noise"] - rough.medians["noise"]) < 0.01
+    left, right = keyed(exact.iv, "variable"), keyed(rough.iv, "variable")
+    assert set(left) == set(right)
+    assert abs(left["noise"]["iv"] - right["noise"]["iv"]) < 1e-9
+    assert abs(left["kind"]["iv"] - right["kind"]["iv"]) < 1e-12
+
+
 def test_downsampled_preparation(frame):
     sets = prepare(frame, OPTIONS.replace(downsample=True, downsample_share=0.5))
     assert 0 < sets.train.count() < 450 and sets.iv.count() == 3
