@@ -33,4 +33,24 @@ def unpack(df: DataFrame, **replaced: Column) -> DataFrame:
     return df.select(*[(replaced[n] if n in replaced else F.col("__row")[n]).alias(n) for n in names])
 
 
-__all__ = ["SPACE", "WORD", "pack", "read", "stage", "unpack", "word_array"]
+
+
+def byte_slices(batches, column: str, most: int = 4 << 20):
+    """Arrow batches cut so that a text column holds about ``most`` bytes in each; a longer text stands alone.
+
+    Yields (batch, texts): the rows, and the column's values as ``str`` with None for NULL.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        texts = batch.column(batch.schema.get_field_index(column))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(first, last - first), texts.slice(first, last - first).to_pylist()
+            first = last

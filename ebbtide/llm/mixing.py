@@ -185,7 +185,7 @@ def mix_plan(
     pieces = (
         line.join(shards.select("rank", "shard", "length", "n_blocks"), ["rank", "shard"])
         .select("key", "copy", "rank", "shard", "start", "end", F.explode(covered).alias("block"))
-        .join(blocks.filter("times > 0"), ["rank", "shard", "block"])
+        .join(blocks.filter("times > 0").hint("merge"), ["rank", "shard", "block"])  # blocks grow with the tokens
         .select(
             "key",
             "copy",

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing
+from . import blocks, bpe, lines, mixing, secrets
 from .common import read
 
 
@@ -192,8 +192,55 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_counts(read(spark, sf_dir, "documents"))
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = blocks.extract_pages(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return rows.select(
+        "__row.page_id", "__row.url", F.col("main").alias("text"), F.char_length("main").cast("long").alias("n_chars")
+    )
+
+
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secrets.scan_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    numbers = [
+        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS
+    ]
+    return rows.select(
+        "__row.doc_id", *numbers, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+    )
+
+
+def vocabulary_path() -> str:
+    """The public vocabulary that the query is about; the file is installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def token_digests(rows: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of encoded documents."""
+    return rows.select(
+        "__row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_digests(bpe.encode_documents(docs, vocabulary_path()))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_flat_blocks": Query(op1),
     "op4_line_frequency": Query(op4, OP4_SQL),
+    "op6_entropy_secrets": Query(op6),
     "op7_site_lines": Query(op7, OP7_SQL),
     "op8_sainte_lague": Query(op8, OP8_SQL),
+    "op9_tree_bpe": Query(op9),
 }
