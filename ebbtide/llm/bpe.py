@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .common import byte_slices, pack
 
@@ -327,5 +328,5 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
                 names=["__row", "ids", "decoded"],
             )
 
-    schema = rows.select("__row").schema.add("ids", "array<int>").add("decoded", "string")
+    schema = rows.select("__row").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
     return rows.mapInArrow(run, schema)

@@ -1,6 +1,6 @@
 r"""Secret scans (6): fixed patterns, and sliding-window Shannon entropy per character class.
 
-A candidate is a longest run of at least ``window`` characters of ``[A-Za-z0-9+/_=-]``. For each
+A candidate is a longest run of at least ``window`` characters of ``[A-Za-z0-9+/_-]``, with the padding after it. For each
 character class (hexadecimal, base 64) a window slides over the longest parts of a candidate that
 lie in the class. The window's counts change by one character in and one out, and with them the sum
 of n log2 n, from which its entropy follows in constant time. Windows above the class's limit that
@@ -19,6 +19,7 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .common import byte_slices, pack
 
@@ -46,10 +47,10 @@ class CharacterClass:
 class Entropy:
     """Settings of the entropy method."""
 
-    window: int = 24
+    window: int = 20
     classes: tuple[CharacterClass, ...] = (
-        CharacterClass("entropy_hex", r"[0-9A-Fa-f]", 3.2),
-        CharacterClass("entropy_base64", r"[A-Za-z0-9+/_=-]", 3.9),
+        CharacterClass("entropy_hex", r"[0-9A-Fa-f]", 3.0),
+        CharacterClass("entropy_base64", r"[A-Za-z0-9+/_=-]", 3.7),
     )
     allowed_shapes: tuple[str, ...] = (
         r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",  # UUID
@@ -87,7 +88,7 @@ class Scanner:
 
     def __init__(self, settings: Entropy):
         self.settings = settings
-        self.candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % settings.window)
+        self.candidate = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % settings.window)
         self.classes = [
             (KINDS.index(c.kind), re.compile(r"(?:%s){%d,}" % (c.pattern, settings.window)), c.limit)
             for c in settings.classes
@@ -159,5 +160,6 @@ def scan_documents(docs: DataFrame, settings: Entropy = Entropy(), text_col: str
                 names=["__row", "spans"],
             )
 
-    schema = rows.select("__row").schema.add("spans", "array<struct<kind:string,start:bigint,end:bigint>>")
+    span = T.StructType().add("kind", "string").add("start", "long").add("end", "long")
+    schema = rows.select("__row").schema.add("spans", T.ArrayType(span))
     return rows.mapInArrow(run, schema)
