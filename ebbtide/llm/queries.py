@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blocks, bpe, lines, mixing, secrets
+from . import blocks, bpe, lines, minhash, mixing, secrets
 from .common import read
 
 
@@ -206,9 +206,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
-    numbers = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS
-    ]
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    numbers = [number(kind) for kind in secrets.KINDS]
     return rows.select(
         "__row.doc_id", *numbers, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
     )
@@ -236,6 +237,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(bpe.encode_documents(docs, vocabulary_path()))
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_flat_blocks": Query(op1),
     "op4_line_frequency": Query(op4, OP4_SQL),
@@ -243,4 +248,5 @@ QUERIES: dict[str, Query] = {
     "op7_site_lines": Query(op7, OP7_SQL),
     "op8_sainte_lague": Query(op8, OP8_SQL),
     "op9_tree_bpe": Query(op9),
+    "op10_bag_minhash": Query(op10),
 }
