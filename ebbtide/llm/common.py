@@ -18,6 +18,14 @@ def word_array(text: str | Column) -> Column:
     return F.filter(F.split(F.coalesce(column, F.lit("")), r"[ \t-\r]+", -1), lambda x: x != "")
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often it is used, inside lambdas as well.
+
+    A computed column doesn't do: the optimizer may put its expression back into a lambda.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

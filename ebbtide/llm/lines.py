@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pack, stage, unpack, word_array
+from .common import bind, pack, stage, unpack, word_array
 
 #: Line hashes (8 bytes each) up to which the table of frequent lines is broadcast.
 BROADCAST_LINES = 100_000
@@ -172,9 +172,6 @@ def repeated_words(words: Column) -> Column:
         found = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda k: same(k, k - 1) | same(k, k + 1))
         return F.array_sort(F.transform(found, lambda k: F.get(ordered, k)["i"]))
 
-    def bind(value: Column, use) -> Column:  # names a value, so that it is computed once
-        return F.get(F.transform(F.array(value), use), 0)
-
     def count(windows: Column) -> Column:
         ordered = F.array_sort(F.transform(windows, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(windows)) == F.size(windows), 0).otherwise(
@@ -186,7 +183,7 @@ def repeated_words(words: Column) -> Column:
             F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
         )
 
-    return F.when(F.size(words) < 3, 0).otherwise(bind(windows(words), count))
+    return bind(words, lambda w: F.when(F.size(w) < 3, 0).otherwise(bind(windows(w), count)))
 
 
 def text_counts(text: Column) -> dict[str, Column]:

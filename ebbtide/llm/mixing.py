@@ -22,7 +22,7 @@ import dataclasses
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pack, stage, word_array
+from .common import bind, pack, stage, word_array
 
 #: Sources up to which their table (a few numbers each) is broadcast.
 BROADCAST_SOURCES = 50_000
@@ -226,15 +226,16 @@ def mixed_documents(
     text = F.col("__row")[text_col]
     chosen = F.filter("__pieces", lambda p: p["times"] >= F.col("__turn"))
     spaced = F.regexp_extract_all(text, F.lit(r"([ \t-\r]*[^ \t-\r]+)"), F.lit(1))
-    parts = F.transform(
-        chosen, lambda p: F.array_join(F.slice(F.col("__spaced"), (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")), "")
-    )
     taken = F.aggregate(chosen, F.lit(0).cast("long"), lambda a, p: a + p["to"] - p["from"])
-    rows = rows.withColumn("__taken", taken)
-    rows = rows.withColumn("__spaced", F.when(F.col("__taken") < F.size(word_array(text)), spaced))
-    cut = F.when(F.col("__spaced").isNull(), text).otherwise(
-        F.regexp_replace(F.array_join(parts, ""), r"^[ \t-\r]+", "")
-    )
+
+    def slices(words: Column) -> Column:
+        parts = F.transform(
+            chosen, lambda p: F.array_join(F.slice(words, (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")), "")
+        )
+        whole = taken == F.size(words)
+        return F.when(whole, text).otherwise(F.regexp_replace(F.array_join(parts, ""), r"^[ \t-\r]+", ""))
+
+    cut = bind(spaced, slices)
     names = rows.schema["__row"].dataType.names
     packed = F.struct(*[(cut if n == text_col else F.col("__row")[n]).alias(n) for n in names])
     return rows.select(packed.alias("__row"))

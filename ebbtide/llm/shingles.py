@@ -122,7 +122,7 @@ def points(first, own, key, most, low: int, size: int, level: int, reach, m: int
     time = np.zeros(len(own))
     turn = 0
     while len(own):
-        bits = mixed(key + U(level + 1) * U(0xD1342543DE82EF95) + U(turn + 1) * U(0xAF251AF3B0F025B5))
+        bits = mixed(key + U(((level + 1) * 0xD1342543DE82EF95 + (turn + 1) * 0xAF251AF3B0F025B5) % 2**64))
         time = time - np.log(((bits >> U(12)).astype(float) + 0.5) * 2.0**-52) / (m * size)
         near = time <= reach[own]
         own, key, most, time, bits = own[near], key[near], most[near], time[near], bits[near]
