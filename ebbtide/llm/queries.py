@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blocks, bpe, lines, minhash, mixing, secrets
+from . import blocks, bpe, lines, minhash, mixing, secrets, toxicity
 from .common import read
 
 
@@ -199,6 +199,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_on(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "__row.doc_id",
+        toxicity.held_out(F.col("__row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secrets.scan_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -243,6 +254,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_flat_blocks": Query(op1),
+    "op3_gru_toxicity": Query(op3),
     "op4_line_frequency": Query(op4, OP4_SQL),
     "op6_entropy_secrets": Query(op6),
     "op7_site_lines": Query(op7, OP7_SQL),
