@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blocks, bpe, lines, minhash, mixing, secrets, toxicity
+from . import blocks, bpe, lines, minhash, mixing, neighbours, secrets, toxicity
 from .common import read
 
 
@@ -210,6 +210,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.linked_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secrets.scan_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -256,6 +260,7 @@ QUERIES: dict[str, Query] = {
     "op1_flat_blocks": Query(op1),
     "op3_gru_toxicity": Query(op3),
     "op4_line_frequency": Query(op4, OP4_SQL),
+    "op5_nn_descent": Query(op5),
     "op6_entropy_secrets": Query(op6),
     "op7_site_lines": Query(op7, OP7_SQL),
     "op8_sainte_lague": Query(op8, OP8_SQL),
