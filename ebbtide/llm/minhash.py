@@ -6,11 +6,12 @@
 2. The classes of a bucket are compared with two leaders, the smallest and the largest class in it,
    not with each other. Pairs are verified on the whole texts: the sum of the smaller counts over the
    sum of the larger ones is at least ``threshold``. Groups are the components of verified pairs.
-3. A bucket that still holds classes of several groups is searched for what the leaders missed: its
-   members are cut into blocks, every pair of blocks is one small task, which compares signatures and
-   names only pairs of different groups that agree in ``threshold`` less four standard deviations of
-   the components. These pairs are verified too. So no link that the bands show is lost, and
-   no list of all pairs of a bucket is ever made.
+3. While buckets hold classes of several groups, further leaders, drawn by hash, are compared with the
+   members of other groups, ``more_leaders`` times. What then still lies apart is settled exactly: the
+   buckets concerned form clusters, and every class outside its cluster's largest group is compared
+   with all classes of other groups in the cluster, in blocks of ``block`` by ``block`` texts. A block
+   counts overlaps itself, skips what it has joined, and gives only the links that join groups. So no
+   link that the bands show is lost, and no list of the pairs of a bucket is ever made.
 
 Hot buckets are combined per task (leaders are minima and maxima); verification is spread by leader
 and salt and reads its rows as a stream. Only ids, signatures and the texts to verify are shuffled.
@@ -41,18 +42,13 @@ class Near:
     shingle: int = 5
     bands: int = 32
     rows: int = 4
+    more_leaders: int = 2
     block: int = 1000
 
     @property
     def width(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def least_agreement(self) -> int:
-        """Components in which a pair at the threshold agrees but for four standard deviations."""
-        s, m = self.threshold, self.width
-        return int(s * m - 4 * (s * (1 - s) * m) ** 0.5)
-
 
 def word_keys(hashes: np.ndarray, counts: np.ndarray) -> list[str | None]:
     """A 128-bit name of each text's sequence of words; None without words."""
@@ -77,7 +73,7 @@ def keyed(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def signed(docs: DataFrame, near: Near, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, bands, marks): band hashes, and one byte of each signature component."""
+    """(id, key, bands): the name of a text's words, and the hashes of its signature's bands."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.lower(F.col(text_col)).alias("__text"))
 
     def run(batches):
@@ -90,19 +86,17 @@ def signed(docs: DataFrame, near: Near, id_col: str, text_col: str) -> DataFrame
             bands = (marks.reshape(len(texts), near.bands, near.rows) * turns).sum(axis=2, dtype=np.uint64)
             bands = mixed(bands + lanes).view(np.int64)
             ends = pa.array(np.arange(len(texts) + 1) * near.bands, type=pa.int32())
-            small = (marks & np.uint64(0xFF)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(batch.schema.get_field_index("id")),
                     pa.array(word_keys(hashes, counts), type=pa.string()),
                     pa.ListArray.from_arrays(ends, pa.array(bands.ravel())),
-                    pa.array([row.tobytes() for row in small], type=pa.binary()),
                 ],
-                names=["id", "key", "bands", "marks"],
+                names=["id", "key", "bands"],
             )
 
     schema = T.StructType().add("id", "long").add("key", "string").add("bands", T.ArrayType(T.LongType()))
-    return rows.mapInArrow(run, schema.add("marks", "binary"))
+    return rows.mapInArrow(run, schema)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
@@ -141,34 +135,70 @@ def verified(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def missed_pairs(members: DataFrame, near: Near) -> DataFrame:
-    """Pairs (a, b) of different groups in one bucket whose signatures agree enough.
+def overlaps(bag, ids: np.ndarray, weights: np.ndarray, starts: np.ndarray, totals: np.ndarray, names: np.ndarray):
+    """The weighted Jaccard index of one bag (shingles, weights) with each of many, laid end to end.
 
-    ``members``: (bucket, node, component, marks), buckets with several components. A bucket of k
-    members is cut into n = ceil(k / block) blocks, and its n (n + 1) / 2 block pairs are the tasks.
+    ``ids`` are places of their shingles in ``names``, the sorted shingles of all.
     """
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / near.block).cast("int").alias("n"))
-    dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "marks"
-    )
+    own = np.zeros(len(names) + 1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(names, bag[0]), len(names) - 1)
+    known = names[at] == bag[0]
+    own[at[known]] = bag[1][known]
+    both = np.add.reduceat(np.minimum(own[ids], weights), starts)
+    return both / (totals + bag[1].sum() - both)
+
+
+def cross_links(members: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
+    """Links (a, b) that join different groups of a cluster. ``members``: (cluster, node, component)."""
+    sizes = members.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    parts = sizes.filter("all > most").select(
+        "cluster", "largest",
+        F.ceil((F.col("all") - F.col("most")) / near.block).cast("int").alias("seek_parts"),
+        F.ceil(F.col("all") / near.block).cast("int").alias("parts"),
+    )
+    rows = members.join(parts, "cluster").join(texts, "node")
+
+    def dealt(part: str, others: str) -> Column:
+        own = F.pmod(F.xxhash64("node", F.lit(part)), F.col(part)).cast("int")
+        return own, F.explode(F.sequence(F.lit(0), F.col(others) - 1))
+
+    own, other = dealt("seek_parts", "parts")
+    seekers = rows.filter("component <> largest").select("cluster", own.alias("i"), other.alias("j"), F.lit(True).alias("seeks"), "node", "component", "text")
+    own, other = dealt("parts", "seek_parts")
+    targets = rows.select("cluster", other.alias("i"), own.alias("j"), F.lit(False).alias("seeks"), "node", "component", "text")
 
     def run(group: pa.Table) -> pa.Table:
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        own = group["own"].to_numpy()
         node, component = group["node"].to_numpy(), group["component"].to_numpy()
-        marks = np.frombuffer(b"".join(group["marks"].to_pylist()), dtype=np.uint8).reshape(len(node), near.width)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found: list[np.ndarray] = []
-        for k in left:
-            rest = right[(component[right] != component[k]) & ((node[right] > node[k]) if i == j else True)]
-            if len(rest):
-                alike = (marks[rest] == marks[k]).sum(axis=1) >= near.least_agreement
-                found.append(np.stack([np.full(alike.sum(), node[k]), node[rest[alike]]]))
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
-        return pa.table({"a": pairs.min(axis=0), "b": pairs.max(axis=0)}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
+        owner, shingle, weight = weighted_shingles(*word_hashes(group["text"].to_pylist()), near.shingle)
+        ends = np.searchsorted(owner, np.arange(len(node) + 1))
+        seeks = group["seeks"].to_numpy()
+        target = np.flatnonzero(~seeks)
+        spans = np.concatenate([np.arange(ends[k], ends[k + 1]) for k in target]) if len(target) else target
+        names, ids = np.unique(shingle[spans], return_inverse=True)
+        sizes = np.diff(ends)[target]
+        starts = np.cumsum(sizes) - sizes
+        totals = np.add.reduceat(weight[spans], starts) if len(target) else sizes
+        root = {c: c for c in component.tolist()}
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        found = []
+        for k in np.flatnonzero(seeks) if len(target) else ():
+            own = slice(ends[k], ends[k + 1])
+            alike = overlaps((shingle[own], weight[own]), ids, weight[spans], starts, totals, names)
+            for t in target[alike >= near.threshold - 1e-12]:
+                x, y = top(int(component[k])), top(int(component[t]))
+                if x != y:
+                    root[x] = y
+                    found.append((int(node[k]), int(node[t])))
+        return pa.table({name: pa.array([f[i] for f in found], pa.int64()) for i, name in enumerate("ab")})
+
+    return seekers.union(targets).groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def near_classes(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -179,7 +209,7 @@ def near_classes(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id", t
     """
     rows = stage(signed(docs, near, id_col, text_col), "near-signed")
     same = rows.filter("key is not null").groupBy("key").agg(
-        F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("marks").alias("marks")
+        F.min("id").alias("id"), F.first("bands").alias("bands")
     )
     classes = stage(same.withColumn("node", F.monotonically_increasing_id()), "near-classes")
 
@@ -200,13 +230,25 @@ def near_classes(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id", t
 
     edges = stage(verified(pairs, texts, near), "near-edges")
     groups = components(edges, "near-groups")
-    grouped = members.select("bucket", "node").join(groups, "node", "left")
-    grouped = grouped.withColumn("component", F.coalesce("component", "node"))
-    split = grouped.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    marked = grouped.join(split.select("bucket"), "bucket").join(classes.select("node", "marks"), "node")
-    more = stage(missed_pairs(marked, near).join(pairs, ["a", "b"], "left_anti"), "near-missed")
-    if not more.isEmpty():
-        edges = edges.union(stage(verified(more, texts, near), "near-more-edges"))
+    for turn in range(near.more_leaders + 1):
+        grouped = members.select("bucket", "node").join(groups, "node", "left")
+        grouped = grouped.withColumn("component", F.coalesce("component", "node"))
+        order = F.xxhash64("node", F.lit(turn))
+        split = grouped.groupBy("bucket").agg(
+            F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("low"),
+            F.min_by(F.struct("node", "component"), order).alias("head"),
+        )
+        apart = stage(grouped.join(split.filter("x < y").drop("x", "y"), "bucket"), "near-apart")
+        if apart.isEmpty():
+            break
+        if turn < near.more_leaders:
+            pairs = apart.filter("component <> head.component").selectExpr("least(node, head.node) as a", "greatest(node, head.node) as b")
+            found = verified(stage(pairs.distinct(), "near-pairs"), texts, near)
+        else:
+            clusters = components(apart.selectExpr("low as a", "node as b"), "near-clusters")
+            inside = apart.select("node", F.col("component").alias("own")).distinct().join(clusters, "node")
+            found = cross_links(inside.selectExpr("component as cluster", "node", "own as component"), texts, near)
+        edges = edges.union(stage(found, "near-edges"))
         groups = components(edges, "near-groups")
     named = classes.join(groups, "node", "left").select("key", "id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
