@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blocks, bpe, lines, minhash, mixing, neighbours, secrets, toxicity
+from . import blocks, bpe, lines, minhash, mixing, neighbours, repeats, secrets, toxicity
 from .common import read
 
 
@@ -199,6 +199,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return repeats.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_on(docs, read(spark, sf_dir, "labels"))
@@ -258,6 +269,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_flat_blocks": Query(op1),
+    "op2_prefix_intervals": Query(op2),
     "op3_gru_toxicity": Query(op3),
     "op4_line_frequency": Query(op4, OP4_SQL),
     "op5_nn_descent": Query(op5),
