@@ -264,7 +264,9 @@ class Encoder:
                 cut[chunk] = []
             else:
                 cut[chunk] = findall(chunk[1:] if chunk[:1] == "\1" else " " + chunk)
-        names = [p for p in set(chain.from_iterable(cut.values())) if p[0] != " " or p[1:] not in known]
+        names = [
+            p for p in set(chain.from_iterable(cut.values())) if p[0] != " " or p[1:2] in ("\0", "\1") or p[1:] not in known
+        ]  # a word that is remembered with its space is taken from there
         coded, decoded = v.encode_pieces([p.encode() for p in names])
         ids = dict(zip(names, coded))
         back = {p: raw.decode("utf-8", errors="replace") for p, raw in zip(names, decoded)}

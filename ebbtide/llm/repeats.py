@@ -208,10 +208,13 @@ def equal_contexts(members: DataFrame, r: Repeats) -> DataFrame:
             anchor, content, doc, row, start, windows = (batch.column(i).to_numpy() for i in range(6))
             new = np.ones(len(anchor), dtype=bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+            other = np.ones(len(anchor), dtype=bool)  # a repeated row brings the same context of one document twice
+            other[1:] = new[1:] | (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (start[1:] != start[:-1])
             if last is not None:
-                new[0] = (anchor[0], content[0]) != last
-            last = (anchor[-1], content[-1])
-            again = np.flatnonzero(~new)
+                new[0] = (anchor[0], content[0]) != last[:2]
+                other[0] = (anchor[0], content[0], doc[0], row[0], start[0]) != last
+            last = (anchor[-1], content[-1], doc[-1], row[-1], start[-1])
+            again = np.flatnonzero(~new & other)
             if len(again):
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(again), pa.int64()), pa.array(content[again]), pa.array(doc[again]), pa.array(row[again]), pa.array(start[again]),

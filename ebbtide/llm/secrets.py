@@ -70,14 +70,14 @@ def entropy_windows(text: str, window: int) -> list[float]:
     out = []
     top = math.log2(window)
     for i, c in enumerate(text):
-        n = counts.get(c, 0)
-        total += weight[n + 1] - weight[n]
-        counts[c] = n + 1
         if i >= window:
             gone = text[i - window]
             n = counts[gone]
             total += weight[n - 1] - weight[n]
             counts[gone] = n - 1
+        n = counts.get(c, 0)
+        total += weight[n + 1] - weight[n]
+        counts[c] = n + 1
         if i >= window - 1:
             out.append(top - total / window)
     return out
