@@ -25,9 +25,6 @@ OPTIONS = Options(
     label_gap_months=1,
     churn_days=35,
     earliest_first_usage=dt.date(1995, 1, 2),
-    forest_trees=(20, 20),
-    out_of_fold=2,
-    boost_iterations=5,
 )
 USER_OPTIONS = OPTIONS.replace(usage_categories=("click", "view"))
 

@@ -233,23 +233,23 @@ for _label in ("churn_90d", "churn_1d"):
 
 def _customer_windows(spark, sf_dir):
     source, base = b.inputs(spark, sf_dir), modelled(spark, sf_dir)
-    span = activity.observed_span(base, b.OPTIONS)
+    span, members = activity.observed_span(base, b.OPTIONS), base.count()
     return {
-        "usage": lambda: activity.usage_in_window(base, source.account_dim, source.usage_fact, b.OPTIONS, span),
-        "package": lambda: activity.packages_in_window(base, source.package_log, b.OPTIONS, span),
-        "campaign": lambda: activity.campaigns_in_window(base, source.messages, b.OPTIONS, span),
+        "usage": lambda: activity.usage_in_window(base, source.account_dim, source.usage_fact, b.OPTIONS, span, members),
+        "package": lambda: activity.packages_in_window(base, source.package_log, b.OPTIONS, span, members),
+        "campaign": lambda: activity.campaigns_in_window(base, source.messages, b.OPTIONS, span, members),
     }
 
 
 def _user_windows(spark, sf_dir):
     base, options = users(spark, sf_dir), b.USER_OPTIONS
-    span = activity.observed_span(base, options)
+    span, members = activity.observed_span(base, options), base.count()
     return {
         "usage": lambda: activity.usage_in_window(
-            base, b.user_dim(spark, sf_dir), b.user_usage(spark, sf_dir), options, span
+            base, b.user_dim(spark, sf_dir), b.user_usage(spark, sf_dir), options, span, members
         ),
-        "package": lambda: activity.packages_in_window(base, b.user_packages(spark, sf_dir), options, span),
-        "campaign": lambda: activity.campaigns_in_window(base, b.user_campaigns(spark, sf_dir), options, span),
+        "package": lambda: activity.packages_in_window(base, b.user_packages(spark, sf_dir), options, span, members),
+        "campaign": lambda: activity.campaigns_in_window(base, b.user_campaigns(spark, sf_dir), options, span, members),
     }
 
 
@@ -336,20 +336,22 @@ for _name, (_keys, _table, _text, _credits) in _TEXTS.items():
         return messages.keyword_flags(rows)
 
 
+def _keywords(base, sent, options):
+    span = activity.observed_span(base, options)
+    windows = activity.member_windows(base, "account_id", options, base.count())
+    sent = activity.of_members(sent, "user_id", F.to_date("stamp_to_send"), windows, options)
+    days = messages.message_days(sent, activity.stamp_bounds("stamp_to_send", span))
+    return messages.keyword_features(base, days, options)
+
+
 @add("keyword_features", "account_id i, " + KEYWORD_SPEC, "select * from keywords_modelled")
 def _(spark, sf_dir):
-    base = modelled(spark, sf_dir)
-    span = activity.observed_span(base, b.OPTIONS)
-    days = messages.message_days(b.messages(spark, sf_dir), activity.stamp_bounds("stamp_to_send", span))
-    return messages.keyword_features(base, days, b.OPTIONS)
+    return _keywords(modelled(spark, sf_dir), b.messages(spark, sf_dir), b.OPTIONS)
 
 
 @add("keyword_features_users", "account_id i, " + KEYWORD_SPEC, "select * from keywords_users")
 def _(spark, sf_dir):
-    base = users(spark, sf_dir)
-    span = activity.observed_span(base, b.USER_OPTIONS)
-    days = messages.message_days(b.user_messages(spark, sf_dir), activity.stamp_bounds("stamp_to_send", span))
-    return messages.keyword_features(base, days, b.USER_OPTIONS)
+    return _keywords(users(spark, sf_dir), b.user_messages(spark, sf_dir), b.USER_OPTIONS)
 
 
 # --- profile and roles ----------------------------------------------------------------------
@@ -374,14 +376,15 @@ def _union(parts) -> str:
 
 def _levels_sql(columns, source) -> str:
     return _union(
-        f"select '{c}' as variable, count(distinct {c}) + max(case when {c} is null then 1 else 0 end) as levels "
+        f"select '{c}' as variable, count(distinct {_exact(c)}) + max(case when {c} is null then 1 else 0 end) as levels "
         f"from {source}"
         for c in columns
     )
 
 
-# sums of doubles may differ in the last bit between engines, so their distinct count may too
-_EXACT_COLUMNS = [c for c in NUMBER_COLUMNS if not c.startswith("ud_d")]
+def _exact(column: str) -> str:
+    """Sums of doubles may differ in the last bit between engines, and their distinct count with it."""
+    return f"round({column}, 4)" if column.startswith("ud_d") else column
 
 
 @add(
@@ -394,9 +397,24 @@ def _(spark, sf_dir):
     return profiling.response_rate(training_frame(spark, sf_dir), "industry", "churn_90d")
 
 
-@add("variable_levels", "variable s, levels i", _levels_sql(TEXT_COLUMNS + _EXACT_COLUMNS, "train_rows"))
+@add("variable_levels", "variable s, levels i", _levels_sql(TEXT_COLUMNS + NUMBER_COLUMNS, "train_rows"))
+def _(spark, sf_dir):
+    rows = train_rows(spark, sf_dir)
+    rows = rows.withColumns({c: F.expr(_exact(c)) for c in NUMBER_COLUMNS if _exact(c) != c})
+    return profiling.distinct_levels(rows, TEXT_COLUMNS + NUMBER_COLUMNS)
+
+
+_BIG = "select 9007199254740992 + l_orderkey as big, cast(l_orderkey as decimal(38, 0)) * 100000000000000000000 + l_linenumber as wide from lineitem"
+
+
+@add("variable_levels_big", "variable s, levels i", _levels_sql(["big", "wide"], f"({_BIG})"))
 def _(spark, sf_dir):
-    return profiling.distinct_levels(train_rows(spark, sf_dir), TEXT_COLUMNS + _EXACT_COLUMNS)
+    """Integers and decimals that a double can't tell apart."""
+    rows = b.table(spark, sf_dir, "lineitem").selectExpr(
+        "9007199254740992 + l_orderkey as big",
+        "cast(cast(l_orderkey as decimal(17, 0)) * 100000000000000000000 + l_linenumber as decimal(38, 0)) as wide",
+    )
+    return profiling.distinct_levels(rows, ["big", "wide"])
 
 
 @add("variable_levels_lines", "variable s, levels i", _levels_sql(LINE_COLUMNS + ["l_returnflag"], "lineitem"))
@@ -459,11 +477,7 @@ PROFILE_SPEC = (
     "variable s, n i, mean d4, sd d4, median d4, trimmed d4, mad d4, min d4, max d4, range d4, "
     "skew d4, kurtosis d4, se d4"
 )
-PROFILE_COLUMNS = [
-    "first_month_revenue", "contacts", "number_of_contacts", "customer_service_survey_rating",
-    "keywords_all", "keyword_optins", "is_api_developer", "uu_d1", "pkgs_d1", "rpct_d1", "capn_d1",
-    "tm_sale", "tm_http",
-]
+PROFILE_COLUMNS = NUMBER_COLUMNS
 
 
 @add("numeric_profile", PROFILE_SPEC, _profile_sql(PROFILE_COLUMNS, "train_rows"))
@@ -513,8 +527,9 @@ def _(spark, sf_dir):
 
 # --- split, cleaning, scope -------------------------------------------------------------------
 
-IMPUTED = [c for c in NUMBER_COLUMNS if c != "customer_satisfaction_pendo"]
-CATEGORIES = ["site", "industry", "country", "primary_sms_usecase", "google_sms_class"]
+IMPUTED = NUMBER_COLUMNS
+# city has more levels than a category may have: classification keeps it out of the model
+CATEGORIES = [c for c in TEXT_COLUMNS if c != "city"]
 
 
 @add("split_train_test", "account_id i, Response n, split s", "select account_id, Response, split from split_rows")
@@ -574,7 +589,7 @@ _SEEN_CTE = "(select * from train_rows where country <> 'ASIA')"
 )
 def _(spark, sf_dir):
     train = train_rows(spark, sf_dir).filter("country <> 'ASIA'")
-    return levels.keep_seen(test_rows(spark, sf_dir), train, CATEGORIES)
+    return levels.keep_seen(test_rows(spark, sf_dir), train, CATEGORIES, b.OPTIONS.max_levels)
 
 
 @add(
@@ -590,7 +605,13 @@ def _(spark, sf_dir):
     return levels.unseen_values(test_rows(spark, sf_dir), train, CATEGORIES)
 
 
-@add("downsample", None)
+@add(
+    "downsample",
+    "account_id i, Response n",
+    "select account_id, Response from train_rows where "
+    f"cast('0x' || substr(md5(cast(account_id as varchar) || '|{b.OPTIONS.downsample_seed}'), 1, 8) as bigint) "
+    f"< {round(b.OPTIONS.downsample_share * 2**32)}",
+)
 def _(spark, sf_dir):
     picked = splitting.downsample(train_rows(spark, sf_dir), b.OPTIONS.replace(downsample=True))
     return picked.select("account_id", RESPONSE)
@@ -603,23 +624,19 @@ def _(spark, sf_dir):
     + _union(
         f"select site as cohort, '{c}' as variable, count(distinct {c}) + max(case when {c} is null then 1 else 0 end) "
         "as levels from train_rows group by site"
-        for c in ("country", "industry", "number_of_contacts", "churn_1d")
+        for c in TEXT_COLUMNS + NUMBER_COLUMNS
+        if c != "site"
     )
     + ") where levels = 1",
 )
 def _(spark, sf_dir):
-    return levels.constant_by_cohort(
-        train_rows(spark, sf_dir), "site", ["country", "industry", "number_of_contacts", "churn_1d"]
-    )
+    variables = [c for c in TEXT_COLUMNS + NUMBER_COLUMNS if c != "site"]
+    return levels.constant_by_cohort(train_rows(spark, sf_dir), "site", variables)
 
 
 # --- information value ------------------------------------------------------------------------
 
-IV_NUMERIC = [
-    "company_id", "contacts", "number_of_contacts", "keywords_all", "keywords_purchased",
-    "keyword_optins", "sms_keyword_in", "is_freemium_at_signup", "first_month_revenue", "uu_d1",
-    "uu_d2", "pkgs_d1", "pkgs_d2", "capn_d1", "tm_sale", "churn_1d",
-]
+IV_NUMERIC = NUMBER_COLUMNS
 
 
 def _bins_sql(columns, source, response, groups=10) -> str:
@@ -652,13 +669,13 @@ def _woe_sql(columns, categories, source, response) -> str:
 
 
 WOE_SPEC = "variable s, bin s, n i, goods i, bads i, good_share d6, bad_share d6, woe d6, iv d6"
-_WOE = _woe_sql(IV_NUMERIC, CATEGORIES, "train_rows", "Response")
+_WOE = _woe_sql(IV_NUMERIC, TEXT_COLUMNS, "train_rows", "Response")
 _IV = f"select variable, sum(iv) as iv from ({_WOE}) group by 1"
 
 
 @once
 def woe(spark, sf_dir) -> DataFrame:
-    bins = information.binned(train_rows(spark, sf_dir), IV_NUMERIC, CATEGORIES, RESPONSE, b.OPTIONS.iv_groups)
+    bins = information.binned(train_rows(spark, sf_dir), IV_NUMERIC, TEXT_COLUMNS, RESPONSE, b.OPTIONS.iv_groups)
     return stage(information.woe_table(bins), "woe")
 
 
@@ -939,9 +956,7 @@ def _(spark, sf_dir):
 @add("accuracy_importance", None)
 def _(spark, sf_dir):
     done = trained(spark, sf_dir)
-    return forest.accuracy_importance(
-        done.prepared.test, done.model.forest, RESPONSE, "account_id", b.OPTIONS, slices=8
-    )
+    return forest.accuracy_importance(done.prepared.test, done.model.forest, RESPONSE, "account_id", b.OPTIONS)
 
 
 @add("forest_scores", None)
@@ -1004,20 +1019,24 @@ def _(spark, sf_dir):
     )
 
 
-PCA_NUMERIC = ["contacts", "number_of_contacts", "keywords_all", "keywords_purchased", "keyword_optins"]
-PCA_TEXT = ["country", "industry"]
+def _without_gaps(spark, sf_dir, rows) -> DataFrame:
+    """All variables of a row, imputed, with a level for missing categories."""
+    options = b.OPTIONS.replace(explicit_missing_level=True)
+    medians = {c: v if v is not None else 0.0 for c, v in learnt_medians(spark, sf_dir).items()}
+    medians = {c: medians.get(c, 0.0) for c in NUMBER_COLUMNS}
+    return cleaning.apply_cleaning(rows, ["account_id", RESPONSE], NUMBER_COLUMNS, CATEGORIES, medians, options)
 
 
 @once
 def fitted_components(spark, sf_dir) -> components.Components:
-    return components.fit_components(
-        train_rows(spark, sf_dir), PCA_NUMERIC, PCA_TEXT, b.OPTIONS.component_share
-    )
+    rows = _without_gaps(spark, sf_dir, train_rows(spark, sf_dir))
+    return components.fit_components(rows, NUMBER_COLUMNS, CATEGORIES, b.OPTIONS.component_share)
 
 
 @add("pca_scores", None)
 def _(spark, sf_dir):
-    return components.rotate(test_rows(spark, sf_dir), fitted_components(spark, sf_dir), ["account_id", RESPONSE])
+    rows = _without_gaps(spark, sf_dir, test_rows(spark, sf_dir))
+    return components.rotate(rows, fitted_components(spark, sf_dir), ["account_id", RESPONSE])
 
 
 @add("pca_curve", None)
@@ -1033,11 +1052,6 @@ def scoring_rows(spark, sf_dir) -> DataFrame:
     return stage(features.scoring_frame(b.inputs(spark, sf_dir), b.OPTIONS), "scoring")
 
 
-@once
-def batch_scores(spark, sf_dir) -> DataFrame:
-    return stage(scoring.score_accounts(scoring_rows(spark, sf_dir), trained(spark, sf_dir).model), "scores")
-
-
 @add("score_batch", None)
 def _(spark, sf_dir):
     return scoring.score_accounts(scoring_rows(spark, sf_dir), trained(spark, sf_dir).model)
@@ -1045,7 +1059,7 @@ def _(spark, sf_dir):
 
 @add("score_output", None)
 def _(spark, sf_dir):
-    return scoring.score_output(scoring_rows(spark, sf_dir), batch_scores(spark, sf_dir), EFFECTIVE)
+    return scoring.score_output(scoring_rows(spark, sf_dir), trained(spark, sf_dir).model, EFFECTIVE)
 
 
 @add("score_sink_append", None)
@@ -1060,7 +1074,7 @@ def _(spark, sf_dir):
 @add("export_csv_roundtrip", None)
 def _(spark, sf_dir):
     model = trained(spark, sf_dir).model
-    out = scoring.cohort_export(scoring_rows(spark, sf_dir), batch_scores(spark, sf_dir), model)
+    out = scoring.cohort_export(scoring_rows(spark, sf_dir), model)
     path = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
     sinks.export_csv(out, path)
     schema = ", ".join(f"{name} {kind}" for name, kind in out.dtypes)

@@ -1,9 +1,11 @@
 """First-days activity: usage, packages and campaigns per account and day.
 
-Each fact table is first summed to one row per account and calendar day, with map-side
-partial sums, and only then joined to the cohort. A day's place in the window depends on
-the account alone, so the sums are the same, and an account holding a third of the fact
-table brings at most one row per day to the join.
+Facts are reduced before they are summed: a cohort of at most ``broadcast_accounts`` accounts is
+sent to the scans, which keep its members' window days only. Then, and for a larger cohort at once, a
+fact table is summed to one row per account and calendar day, with map-side partial sums, and
+only then joined to the cohort. A day's place in the window depends on the account alone, so the
+sums are the same either way, and an account holding a third of the fact table brings at most one row
+per day to the join.
 """
 
 from __future__ import annotations
@@ -54,11 +56,34 @@ def epoch_bounds(column: str, span: Span | None, time_zone: str) -> Column:
     return (F.col(column) >= F.lit(low)) & (F.col(column) < F.lit(high))
 
 
-def usage_days(usage_fact: DataFrame, options: Options, bounds: Column | None = None) -> DataFrame:
+def of_members(facts: DataFrame, key: str, day: Column, windows: DataFrame | None, options: Options) -> DataFrame:
+    """Facts inside the window of their account. ``windows``: (member, first), few enough to be broadcast.
+
+    None leaves the facts as they are: the join after the daily sums decides alone.
+    """
+    if windows is None:
+        return facts
+    first = F.col("_first")
+    inside = (F.col(key) == F.col("_member")) & (day >= first) & (day <= F.date_add(first, options.obs_days - 1))
+    sides = windows.select(F.col("member").alias("_member"), F.col("first").alias("_first")).distinct()
+    return facts.join(F.broadcast(sides), inside, "left_semi")
+
+
+def member_windows(cohort: DataFrame, key: str, options: Options, members: int | None) -> DataFrame | None:
+    """The cohort's (member, first day), or None if it has more rows than are broadcast. ``members``: its counted rows."""
+    if members is None or members > options.broadcast_accounts:
+        return None
+    return cohort.select(F.col(key).alias("member"), F.col("first_usage_units").alias("first"))
+
+
+def usage_days(
+    usage_fact: DataFrame, options: Options, bounds: Column | None = None, windows: DataFrame | None = None
+) -> DataFrame:
     """Usage units and dollars per fact key and day, for the wanted categories only."""
     rows = usage_fact.filter(in_list("category", options.usage_categories))
     if bounds is not None:
         rows = rows.filter(bounds)
+    rows = of_members(rows, "account_key", epoch_date("processdate_est_key", options.time_zone), windows, options)
     return rows.groupBy(
         F.col("account_key").alias("fact_key"),
         epoch_date("processdate_est_key", options.time_zone).alias("day"),
@@ -87,7 +112,12 @@ def _in_window(options: Options) -> Column:
 
 
 def usage_in_window(
-    cohort: DataFrame, account_dim: DataFrame, usage_fact: DataFrame, options: Options, span: Span | None
+    cohort: DataFrame,
+    account_dim: DataFrame,
+    usage_fact: DataFrame,
+    options: Options,
+    span: Span | None,
+    members: int | None = None,
 ) -> DataFrame:
     """Cohort accounts found in the dimension, with their usage days (or one empty row)."""
     keys = cohort.select(
@@ -98,7 +128,7 @@ def usage_in_window(
     )
     found = keys.join(dim, ["site_text", "account_id"])
     bounds = epoch_bounds("processdate_est_key", span, options.time_zone)
-    days = usage_days(usage_fact, options, bounds)
+    days = usage_days(usage_fact, options, bounds, member_windows(found, "dim_key", options, members))
     return (
         found.join(days, (F.col("dim_key") == F.col("fact_key")) & _in_window(options), "left")
         .withColumn("days_after", F.datediff("day", "first_usage_units"))
@@ -118,15 +148,19 @@ def events_in_window(cohort: DataFrame, days: DataFrame, options: Options) -> Da
 
 
 def packages_in_window(
-    cohort: DataFrame, package_log: DataFrame, options: Options, span: Span | None
+    cohort: DataFrame, package_log: DataFrame, options: Options, span: Span | None, members: int | None = None
 ) -> DataFrame:
-    return events_in_window(cohort, package_days(package_log, stamp_bounds("createdat", span)), options)
+    windows = member_windows(cohort, "account_id", options, members)
+    rows = of_members(package_log, "userid", F.to_date("createdat"), windows, options)
+    return events_in_window(cohort, package_days(rows, stamp_bounds("createdat", span)), options)
 
 
 def campaigns_in_window(
-    cohort: DataFrame, messages: DataFrame, options: Options, span: Span | None
+    cohort: DataFrame, messages: DataFrame, options: Options, span: Span | None, members: int | None = None
 ) -> DataFrame:
-    return events_in_window(cohort, campaign_days(messages, stamp_bounds("stamp_to_send", span)), options)
+    windows = member_windows(cohort, "account_id", options, members)
+    rows = of_members(messages, "user_id", F.to_date("stamp_to_send"), windows, options)
+    return events_in_window(cohort, campaign_days(rows, stamp_bounds("stamp_to_send", span)), options)
 
 
 def by_day(in_window: DataFrame) -> DataFrame:

@@ -10,17 +10,15 @@ from pyspark.sql import functions as F
 from .ranking import level_counts
 
 
-def keep_seen(df: DataFrame, train: DataFrame, categorical: Sequence[str]) -> DataFrame:
+def keep_seen(
+    df: DataFrame, train: DataFrame, categorical: Sequence[str], max_levels: int | None = None
+) -> DataFrame:
     """Rows whose every category value occurs in ``train``; NULL is a value like any other.
 
-    One null-safe semi join per category against its distinct training values. No broadcast is
-    forced: the planner measures the distinct values and picks it when they are few.
+    One pass over ``train`` learns the levels of all categories, and a plain filter applies them, as in
+    scoring.
     """
-    kept = df
-    for name in categorical:
-        seen = train.select(F.col(name).alias("_seen")).distinct()
-        kept = kept.join(seen, F.col(name).eqNullSafe(F.col("_seen")), "left_semi")
-    return kept
+    return keep_known(df, learn_levels(train, categorical, max_levels))
 
 
 def unseen_values(df: DataFrame, train: DataFrame, categorical: Sequence[str]) -> DataFrame:
@@ -32,15 +30,23 @@ def unseen_values(df: DataFrame, train: DataFrame, categorical: Sequence[str]) -
     return pairs(df).subtract(pairs(train))
 
 
-def learn_levels(train: DataFrame, categorical: Sequence[str]) -> dict[str, list[str | None]]:
+def learn_levels(
+    train: DataFrame, categorical: Sequence[str], max_levels: int | None = None
+) -> dict[str, list[str | None]]:
     """Sorted levels of each classified category.
 
-    Classification leaves at most ``max_levels`` per category, so this is metadata.
+    Classification leaves at most ``max_levels`` per category, so this is metadata. With the bound
+    given, a category that has more is refused before its levels are read.
     """
     if not categorical:
         return {}
+    counts = level_counts(train, categorical)
+    if max_levels is not None:
+        crowded = counts.groupBy("variable").count().filter(F.col("count") > max_levels).select("variable").collect()
+        if crowded:
+            raise ValueError(f"more than {max_levels} levels: {sorted(row['variable'] for row in crowded)}")
     found: dict[str, list[str | None]] = {name: [] for name in categorical}
-    for row in level_counts(train, categorical).collect():
+    for row in counts.collect():
         found[row["variable"]].append(row["value"])
     return {name: sorted(values, key=lambda v: (v is None, v or "")) for name, values in found.items()}
 

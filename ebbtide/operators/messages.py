@@ -25,10 +25,14 @@ def keyword_flags(messages: DataFrame) -> DataFrame:
 
 
 def distinct_messages(messages: DataFrame) -> DataFrame:
-    """Messages that differ in more than their id."""
-    return messages.select(
-        "user_id", "recipients_count", "message", "credits", "stamp_to_send"
-    ).distinct()
+    """Messages that differ in more than their id.
+
+    They are compared by the SHA-256 digest of the text; one text of each group travels along.
+    """
+    keys = ["user_id", "recipients_count", "credits", "stamp_to_send"]
+    digest = F.unhex(F.sha2("message", 256)).alias("digest")
+    firsts = messages.select(*keys, digest, "message").groupBy(*keys, "digest").agg(F.first("message").alias("message"))
+    return firsts.select("user_id", "recipients_count", "message", "credits", "stamp_to_send")
 
 
 def _keyword_mask() -> Column:

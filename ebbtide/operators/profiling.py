@@ -47,7 +47,8 @@ def distinct_levels(df: DataFrame, variables: Sequence[str], exact: bool = True)
             ]
         )
         return row.unpivot([], list(variables), "variable", "levels")
-    numeric = [c for c in variables if storage_class(types[c]) == "numeric"]
+    # integers and decimals as their text, which is exact where a double isn't
+    numeric = [c for c in variables if types[c] in ("float", "double")]
     other = [c for c in variables if c not in numeric]
     parts = []
     if numeric:

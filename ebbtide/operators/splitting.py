@@ -58,10 +58,16 @@ def by_role(df: DataFrame, role: str) -> DataFrame:
 
 
 def downsample(df: DataFrame, options: Options, response: str = "Response") -> DataFrame:
-    """Bernoulli sample of all rows; optionally all positives and a share of the rest."""
+    """Bernoulli sample of all rows; optionally all positives and a share of the rest.
+
+    A row is kept if the seeded digest of its id, as a number, lies below the share. So the sample is the
+    same however the rows are partitioned.
+    """
     if not options.downsample:
         return df
+    digest = F.md5(F.concat(F.col(options.id_column).cast("string"), F.lit(f"|{options.downsample_seed}")))
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    picked = number < F.lit(round(options.downsample_share * 2**32))
     if options.stratified_downsample:
-        shares = {1: 1.0, 0: options.downsample_share}
-        return df.sampleBy(response, shares, options.downsample_seed)
-    return df.sample(False, options.downsample_share, options.downsample_seed)
+        return df.filter((F.col(response) == 1) | ((F.col(response) == 0) & picked))
+    return df.filter(picked)

@@ -42,6 +42,8 @@ class Options:
     # first-days activity
     obs_days: int = 7
     usage_categories: tuple[str, ...] = ("sms", "mms")
+    # cohorts up to this size are broadcast to the fact scans, larger ones are joined by key
+    broadcast_accounts: int = 1_000_000
     time_zone: str = "UTC"
 
     # data preparation

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,30 +17,33 @@ from .features import Inputs, scoring_frame
 from .training import CALIBRATED
 
 
-def score_accounts(frame: DataFrame, model: PropensityModel) -> DataFrame:
+CARRIED = "_carried"
+
+
+def score_accounts(frame: DataFrame, model: PropensityModel, carried: Sequence[str] = ()) -> DataFrame:
     """``account_id`` with the scope variables, the raw and the calibrated score.
 
     One narrow plan: impute with the training medians, keep rows whose categories were seen in
-    training, score, calibrate. Nothing is shuffled and no row reaches the driver.
+    training, score, calibrate. Nothing is shuffled and no row reaches the driver. Columns that are
+    ``carried`` come along as they were before cleaning, in the struct ``_carried``.
     """
     options = model.options
     require(frame, options.id_column, *model.numeric, *model.categorical)
-    cleaned = cleaning.apply_cleaning(
-        frame, [options.id_column], model.numeric, model.categorical, model.medians, options
-    )
+    if carried:
+        frame = frame.withColumn(CARRIED, F.struct(*carried))
+    kept = [options.id_column, *([CARRIED] if carried else [])]
+    cleaned = cleaning.apply_cleaning(frame, kept, model.numeric, model.categorical, model.medians, options)
     in_scope = levels.keep_known(cleaned, model.levels)
-    wanted = in_scope.select(options.id_column, *dict.fromkeys([*model.scope, *model.top]))
+    wanted = in_scope.select(*kept, *dict.fromkeys([*model.scope, *model.top]))
     scored = forest.add_scores(wanted, model.forest)
     return scored.withColumn(CALIBRATED, model.calibration.column(forest.RAW))
 
 
-def score_output(frame: DataFrame, scored: DataFrame, efft_d: dt.date | None = None) -> DataFrame:
-    """Rows of the score table; the effective date defaults to today."""
+def score_output(frame: DataFrame, model: PropensityModel, efft_d: dt.date | None = None) -> DataFrame:
+    """Rows of the score table, scored where they are read; the effective date defaults to today."""
     day = as_date(efft_d) if efft_d is not None else F.current_date()
-    return (
-        frame.select("account_id", "first_usage_units")
-        .join(scored.select("account_id", F.col(CALIBRATED).alias("churn_90d_score")), "account_id")
-        .withColumn("efft_d", day)
+    return score_accounts(frame, model, ["first_usage_units"]).select(
+        "account_id", f"{CARRIED}.first_usage_units", F.col(CALIBRATED).alias("churn_90d_score"), day.alias("efft_d")
     )
 
 
@@ -48,15 +52,14 @@ def score_cohort(
 ) -> DataFrame:
     """The daily job: rows of the score table for the current scoring cohort.
 
-    The feature frame is written once, since scoring and output both read it.
+    The feature frame is written once, since it is checked for rows before it is scored.
     """
     frame = stage(scoring_frame(inputs, model.options, anchor), "scoring")
     require_rows(frame, "the scoring cohort")
-    return score_output(frame, score_accounts(frame, model), efft_d)
+    return score_output(frame, model, efft_d)
 
 
-def cohort_export(frame: DataFrame, scored: DataFrame, model: PropensityModel) -> DataFrame:
+def cohort_export(frame: DataFrame, model: PropensityModel) -> DataFrame:
     """Scored accounts with their top variables as they were before cleaning."""
-    return frame.join(scored.select("account_id", CALIBRATED), "account_id").select(
-        "account_id", *model.top, CALIBRATED
-    )
+    scored = score_accounts(frame, model, model.top)
+    return scored.select("account_id", *[F.col(CARRIED)[v].alias(v) for v in model.top], CALIBRATED)

@@ -69,7 +69,7 @@ def prepare(frame: DataFrame, options: Options, keep: Sequence[str] = ()) -> Pre
 
     log.info("cleaning done")
     train = splitting.downsample(clean(train_rows), options, RESPONSE)
-    known = levels.learn_levels(train, categorical)
+    known = levels.learn_levels(train, categorical, options.max_levels)
     test = levels.keep_known(clean(test_rows), known)
     score = levels.keep_known(clean(splitting.by_role(staged, "sc")), known)
     log.info("final sets done")

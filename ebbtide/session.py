@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder every executor can reach.
 
-    Taken from the running context, then from ``spark.checkpoint.dir``. Only a local
-    session, whose single JVM sees the local disk, falls back to a folder of its own.
+    Taken from the running context, then from ``spark.checkpoint.dir``; it must be set.
     """
     context = spark.sparkContext
     known = context.getCheckpointDir()
@@ -20,9 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
         return known
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(folder)
     return context.getCheckpointDir() or folder
 

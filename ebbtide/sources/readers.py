@@ -27,12 +27,15 @@ def load_source(
     return (reader.schema(schema) if schema else reader).load(location)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, index_column: str | None = "X") -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: str, index_column: str | None = "X", multi_line: bool = False
+) -> DataFrame:
     """CSV with a header and ``NA`` for missing; the row-number column is dropped.
 
-    The schema is given, never inferred, so the file is read once.
+    The schema is given, never inferred, so the file is read once. Values with line breaks need
+    ``multi_line``, which makes each file one task.
     """
-    frame = spark.read.csv(path, header=True, schema=schema, nullValue="NA", multiLine=True, escape='"')
+    frame = spark.read.csv(path, header=True, schema=schema, nullValue="NA", multiLine=multi_line, escape='"')
     return frame.drop(index_column) if index_column else frame
 
 

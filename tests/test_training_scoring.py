@@ -172,8 +172,12 @@ def test_unseen_level_is_not_scored(frame, trained):
 
 def test_scoring_needs_no_shuffle(frame, trained):
     rows = frame.filter("md_sc_f = 'sc'")
-    plan = score_accounts(rows, trained.model)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    for out in (
+        score_accounts(rows, trained.model),
+        score_output(rows, trained.model, dt.date(2019, 2, 1)),
+        scoring.cohort_export(rows, trained.model),
+    ):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_guards(frame, trained):
@@ -187,9 +191,13 @@ def test_guards(frame, trained):
 
 def test_output_and_first_score_stays(spark, frame, trained, tmp_path):
     rows = frame.filter("md_sc_f = 'sc'")
-    scored = score_accounts(rows, trained.model)
     day = dt.date(2019, 2, 1)
-    out = score_output(rows, scored, day)
+    out = score_output(rows, trained.model, day)
+    scored = keyed(score_accounts(rows, trained.model), "account_id")
+    source = keyed(rows, "account_id")
+    for key, row in keyed(out, "account_id").items():
+        assert row["first_usage_units"] == source[key]["first_usage_units"]
+        assert row["churn_90d_score"] == scored[key][training.CALIBRATED]
     assert out.columns == ["account_id", "first_usage_units", "churn_90d_score", "efft_d"]
     path = str(tmp_path / "scores")
     sinks.append_scores_path(out.filter("account_id < 450"), path)
@@ -202,7 +210,7 @@ def test_output_and_first_score_stays(spark, frame, trained, tmp_path):
 
 def test_catalogue_table(spark, frame, trained):
     rows = frame.filter("md_sc_f = 'sc'")
-    out = score_output(rows, score_accounts(rows, trained.model), dt.date(2019, 2, 1))
+    out = score_output(rows, trained.model, dt.date(2019, 2, 1))
     sinks.create_score_table(spark, "scores_first")
     sinks.create_score_table(spark, "scores_first")
     assert spark.table("scores_first").count() == 0
@@ -215,7 +223,7 @@ def test_catalogue_table(spark, frame, trained):
 
 def test_repeated_account_refuses_the_write(spark, frame, trained, tmp_path):
     rows = frame.filter("md_sc_f = 'sc'")
-    out = score_output(rows, score_accounts(rows, trained.model), dt.date(2019, 2, 1))
+    out = score_output(rows, trained.model, dt.date(2019, 2, 1))
     path = str(tmp_path / "none")
     with pytest.raises(sinks.DuplicateKeys):
         sinks.append_scores_path(out.unionByName(out.limit(1)), path)
@@ -226,7 +234,7 @@ def test_repeated_account_refuses_the_write(spark, frame, trained, tmp_path):
 
 def test_export_and_csv(spark, frame, trained, tmp_path):
     rows = frame.filter("md_sc_f = 'sc'")
-    out = scoring.cohort_export(rows, score_accounts(rows, trained.model), trained.model)
+    out = scoring.cohort_export(rows, trained.model)
     path = str(tmp_path / "csv")
     sinks.export_csv(out, path)
     schema = ", ".join(f"{n} {t}" for n, t in out.dtypes)
