@@ -61,6 +61,11 @@ HEADLINE = [
     "pca_scores",
     "score_batch",
     "score_output",
+    "forest_gini",
+    "boosted_challenger",
+    "score_sink_append",
+    "model_roundtrip",
+    "optimal_bins",
 ]
 
 

@@ -1019,6 +1019,21 @@ def _(spark, sf_dir):
     )
 
 
+@once
+def saved_project(spark, sf_dir):
+    """The evaluated project, written to disk and read back."""
+    path = f"{shared_folder(spark)}/project-{uuid.uuid4().hex}"
+    project.save_project(training.evaluated(trained(spark, sf_dir)).model, path, spark)
+    return project.load_project(spark, path)
+
+
+for _table in ("accuracy", "gini", "ks", "deciles", "reliability", "sweep", "bins_train", "bins_test"):
+
+    @add(f"project_{_table}", None)
+    def _(spark, sf_dir, name=_table):
+        return saved_project(spark, sf_dir).tables[name]
+
+
 def _without_gaps(spark, sf_dir, rows) -> DataFrame:
     """All variables of a row, imputed, with a level for missing categories."""
     options = b.OPTIONS.replace(explicit_missing_level=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import math
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -34,12 +35,15 @@ def fit_calibration(df: DataFrame, raw: str, response: str) -> Calibration:
 
 
 def learn_cut_points(
-    df: DataFrame, score: str, response: str, min_share: float, depth: int = 4, candidates: int = 256
+    df: DataFrame, score: str, response: str, min_share: float, candidates: int = 256
 ) -> list[float]:
     """Upper score of every bin but the last: the leaves of a one-variable classification tree.
 
-    Each leaf holds at least ``min_share`` of the rows, so there are at most ``2 ** depth``.
+    Each leaf holds at least ``min_share`` of the rows; the tree is as deep as that many leaves need
+    when they split evenly, and twice as deep for those that don't. Cuts are chosen among
+    ``candidates`` quantiles of the score.
     """
+    depth = max(1, min(30, 2 * math.ceil(math.log2(1 / min_share))))
     rows = df.filter(F.col(response).isNotNull() & F.col(score).isNotNull()).select(
         F.col(score), F.col(response).cast("double").alias("label")
     )

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .levels import learn_levels
+from .ranking import level_counts
 
 
 @dataclasses.dataclass(frozen=True)
@@ -42,19 +42,25 @@ def _scaled(df: DataFrame, keep, numeric, centre, shares) -> DataFrame:
 def fit_components(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], percent: float
 ) -> Components:
-    """Components up to ``percent`` of the variance. Categories must be classified ones."""
+    """Components up to ``percent`` of the variance.
+
+    Categories must be classified ones, and numerics imputed: a row with a missing one is refused.
+    """
     stats = train.agg(
         F.count(F.lit(1)).alias("_n"),
+        *[F.count(c).alias(f"{c}__k") for c in numeric],
         *[F.avg(c).alias(f"{c}__m") for c in numeric],
         *[F.stddev_pop(c).alias(f"{c}__s") for c in numeric],
     ).first()
+    gaps = [c for c in numeric if stats[f"{c}__k"] < stats["_n"]]
+    if gaps:
+        raise ValueError(f"impute before the components are fitted: missing values in {gaps}")
     varied = [c for c in numeric if stats[f"{c}__s"]]
     centre = {c: (float(stats[f"{c}__m"]), float(stats[f"{c}__s"])) for c in varied}
-    shares: dict[str, dict[str, float]] = {}
-    for name, levels in learn_levels(train, categorical).items():
-        texts = [level for level in levels if level is not None]
-        row = train.agg(*[F.count(F.when(F.col(name) == t, 1)).alias(f"l{i}") for i, t in enumerate(texts)]).first()
-        shares[name] = {t: row[f"l{i}"] / stats["_n"] for i, t in enumerate(texts)}
+    shares: dict[str, dict[str, float]] = {name: {} for name in categorical}
+    known = level_counts(train, categorical).filter("value is not null") if categorical else None
+    for row in known.orderBy("variable", "value").collect() if known is not None else ():  # classified levels
+        shares[row["variable"]][row["value"]] = row["n"] / stats["_n"]
     vectors = _scaled(train, [], varied, centre, shares).cache()
     try:
         width = vectors.first()["features"].size

@@ -163,7 +163,7 @@ def accuracy_importance(
     response: str,
     id_column: str,
     options: Options,
-    slices: int = 256,
+    slices: int | None = None,
 ) -> DataFrame:
     """``variable, mean_decrease_accuracy``: accuracy lost when one variable is permuted.
 
@@ -173,6 +173,8 @@ def accuracy_importance(
     copies are made after the shuffle and never leave their task.
     """
     names = predictors(model)
+    if slices is None:
+        slices = max(1, -(-df.count() // 10_000))  # so a slice's size doesn't grow with the rows
     shuffled = F.md5(F.concat_ws("|", F.col(id_column).cast("string"), F.lit(f"permute{options.learner_seed}")))
     rows = df.filter(F.col(response).isNotNull()).select(
         F.col(response).cast("double").alias("_truth"),

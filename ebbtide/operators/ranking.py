@@ -143,15 +143,12 @@ def reusable(counts: DataFrame) -> DataFrame:
     return cut(counts)
 
 
-SKETCH_ACCURACY = 10_000  # relative rank error 1 / 10,000
-
-
 def sketched_quantiles(
-    df: DataFrame, variables: Sequence[str], shares: Sequence[float]
+    df: DataFrame, variables: Sequence[str], shares: Sequence[float], accuracy: int = 10_000
 ) -> dict[str, list[float]]:
     """Approximate quantiles of each variable from one pass that shuffles sketches only.
 
-    Below the accuracy's size they are exact: the smallest value whose cumulative count reaches
+    The relative rank error is 1 / ``accuracy``. Below the accuracy's size they are exact: the smallest value whose cumulative count reaches
     the share. One row of ``len(variables) * len(shares)`` numbers is read.
     """
     types = dict(df.dtypes)
@@ -160,7 +157,7 @@ def sketched_quantiles(
     }
     row = df.agg(
         *[
-            F.percentile_approx(column, list(shares), SKETCH_ACCURACY).alias(name)
+            F.percentile_approx(column, list(shares), accuracy).alias(name)
             for name, column in known.items()
         ]
     ).first()

@@ -6,10 +6,21 @@ import dataclasses
 import logging
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import calibration, cleaning, forest, information, levels, profiling, ranking, splitting
+from ..operators import (
+    calibration,
+    cleaning,
+    evaluation,
+    forest,
+    information,
+    levels,
+    profiling,
+    ranking,
+    splitting,
+)
 from ..options import Options
 from ..session import cut, stage
 from ..sources.project import PropensityModel
@@ -106,6 +117,7 @@ class Trained:
     model: PropensityModel
     prepared: Prepared
     tested: DataFrame  # test rows with raw and calibrated scores
+    first: PipelineModel | None = None  # the forest on all surviving variables
 
 
 def train(frame: DataFrame, options: Options, prepared: Prepared | None = None) -> Trained:
@@ -146,4 +158,43 @@ def train(frame: DataFrame, options: Options, prepared: Prepared | None = None)
         calibration=curve,
         tables={"roles": sets.roles, "iv": sets.iv, "importance": importance},
     )
-    return Trained(model, sets, tested)
+    return Trained(model, sets, tested, raw)
+
+
+def evaluated(done: Trained) -> Trained:
+    """The same project with its evaluation among its tables, saved and loaded with it.
+
+    ``accuracy`` is the first forest's second importance measure. ``gini`` has the out-of-fold scores
+    of the training rows and the scores of the test rows; ``bins_train`` and ``bins_test`` are the
+    optimal bins of both. ``ks``, ``deciles``, ``reliability`` and ``sweep`` are those of the test
+    rows. All are a few rows, written once; the test scores are ranked once for them all.
+    """
+    model, sets, options = done.model, done.prepared, done.model.options
+    numeric, categorical = forest.split_kinds(model.top, sets.categorical)
+    trees = options.forest_trees[1]
+    unseen = stage(
+        forest.out_of_fold_scores(
+            sets.train, numeric, categorical, RESPONSE, options.id_column, trees, options
+        ).select(RESPONSE, forest.RAW),
+        "out-of-fold",
+    )
+    ranked = evaluation.ranked_scores(done.tested, CALIBRATED, RESPONSE)
+    ginis = [
+        evaluation.gini(rows).select(F.lit(label).alias("rows"), "gini")
+        for label, rows in (
+            ("train_out_of_fold", evaluation.ranked_scores(unseen, forest.RAW, RESPONSE)),
+            ("test", ranked),
+        )
+    ]
+    tables = {
+        "accuracy": forest.accuracy_importance(sets.test, done.first, RESPONSE, options.id_column, options),
+        "gini": ginis[0].unionByName(ginis[1]),
+        "ks": evaluation.ks(ranked),
+        "deciles": evaluation.decile_ranges(ranked),
+        "reliability": evaluation.reliability(done.tested, forest.RAW, RESPONSE),
+        "sweep": evaluation.threshold_sweep(done.tested, CALIBRATED, RESPONSE, options),
+        "bins_train": calibration.optimal_bins(unseen, forest.RAW, RESPONSE, options.optimal_bin_min_share),
+        "bins_test": calibration.optimal_bins(done.tested, CALIBRATED, RESPONSE, options.optimal_bin_min_share),
+    }
+    kept = {name: stage(table, f"evaluation-{name}") for name, table in tables.items()}
+    return dataclasses.replace(done, model=dataclasses.replace(model, tables={**model.tables, **kept}))

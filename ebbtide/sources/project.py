@@ -25,7 +25,8 @@ class PropensityModel:
     scope: list[str]
     forest: PipelineModel
     calibration: Calibration
-    tables: dict[str, DataFrame]  # roles, iv, importance: one row per variable
+    # roles, iv, importance: one row per variable; once evaluated, its evaluation tables as well
+    tables: dict[str, DataFrame]
 
 
 def save_project(model: PropensityModel, path: str, spark: SparkSession) -> None:

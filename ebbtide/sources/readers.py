@@ -28,12 +28,12 @@ def load_source(
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str, index_column: str | None = "X", multi_line: bool = False
+    spark: SparkSession, path: str, schema: str, index_column: str | None = "X", multi_line: bool = True
 ) -> DataFrame:
     """CSV with a header and ``NA`` for missing; the row-number column is dropped.
 
-    The schema is given, never inferred, so the file is read once. Values with line breaks need
-    ``multi_line``, which makes each file one task.
+    The schema is given, never inferred, so the file is read once. Messages hold line breaks, which
+    makes each file one task; without ``multi_line`` large files are split.
     """
     frame = spark.read.csv(path, header=True, schema=schema, nullValue="NA", multiLine=multi_line, escape='"')
     return frame.drop(index_column) if index_column else frame

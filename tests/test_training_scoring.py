@@ -180,6 +180,21 @@ def test_scoring_needs_no_shuffle(frame, trained):
         assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_evaluation_is_part_of_the_project(spark, trained, tmp_path):
+    done = training.evaluated(trained)
+    save_project(done.model, str(tmp_path / "project"), spark)
+    tables = load_project(spark, str(tmp_path / "project")).tables
+    ginis = {r["rows"]: r["gini"] for r in tables["gini"].collect()}
+    direct = ev.gini(ev.ranked_scores(trained.tested, training.CALIBRATED, "Response")).first()["gini"]
+    assert ginis["test"] == pytest.approx(direct) and 0 < ginis["train_out_of_fold"] < 1
+    tested = trained.tested.count()
+    for name in ("deciles", "reliability", "bins_test"):
+        assert tables[name].agg(F.sum("n")).first()[0] == tested
+    assert tables["bins_train"].agg(F.sum("n")).first()[0] == trained.prepared.train.count()
+    assert {r["variable"] for r in tables["accuracy"].collect()} == {r["variable"] for r in tables["importance"].collect()}
+    assert tables["sweep"].count() == 31 and tables["ks"].count() == 1
+
+
 def test_guards(frame, trained):
     with pytest.raises(ValueError, match="has no rows"):
         prepare(frame.filter("md_sc_f = 'sc'"), OPTIONS)
