@@ -3,17 +3,17 @@
 1. Texts of the same words are one class. Each class gets a BagMinHash signature of its multiset of
    five-word shingles; r components make a band. Two texts of similarity s share one of b bands with
    probability 1 - (1 - s^r)^b: with r = 4 and b = 32, all but 5 in 10^8 pairs at 0.8.
-2. The classes of a bucket are compared with two leaders, the smallest and the largest class in it,
-   not with each other. Pairs are verified on the whole texts: the sum of the smaller counts over the
+2. The classes of a bucket have a leader, the smallest one. Each class is compared with the smallest of
+   its leaders, not with all classes that share a bucket with it. Pairs are verified on the whole texts: the sum of the smaller counts over the
    sum of the larger ones is at least ``threshold``. Groups are the components of verified pairs.
 3. While buckets hold classes of several groups, further leaders, drawn by hash, are compared with the
-   members of other groups, ``more_leaders`` times. What then still lies apart is settled exactly: the
+   members of other groups, one of each group that a class meets, ``more_leaders`` times. What then still lies apart is settled exactly: the
    buckets concerned form clusters, and every class outside its cluster's largest group is compared
    with all classes of other groups in the cluster, in blocks of ``block`` by ``block`` texts. A block
    counts overlaps itself, skips what it has joined, and gives only the links that join groups. So no
    link that the bands show is lost, and no list of the pairs of a bucket is ever made.
 
-Hot buckets are combined per task (leaders are minima and maxima); verification is spread by leader
+Hot buckets are combined per task (leaders are minima); verification is spread by leader
 and salt and reads its rows as a stream. Only ids, signatures and the texts to verify are shuffled.
 """
 
@@ -214,15 +214,10 @@ def near_classes(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id", t
     classes = stage(same.withColumn("node", F.monotonically_increasing_id()), "near-classes")
 
     held = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = held.groupBy("bucket").agg(
-        F.min("node").alias("low"), F.max("node").alias("high")
-    ).filter("low < high")
-    members = stage(held.join(shared, "bucket"), "near-members")
-    pairs = (
-        members.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("node").alias("b")), F.struct(F.least("node", "high").alias("a"), F.greatest("node", "high").alias("b")))).alias("p"))
-        .select("p.*").filter("a <> b").distinct()
-    )
-    pairs = stage(pairs, "near-pairs")
+    shared = held.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    members = stage(held.join(shared.drop("high"), "bucket"), "near-members")
+    pairs = members.groupBy("node").agg(F.min("low").alias("a")).filter("a <> node")
+    pairs = stage(pairs.select("a", F.col("node").alias("b")), "near-pairs")
 
     wanted = members.select("node").distinct().join(classes.select("node", "key", "id"), "node")
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.lower(F.col(text_col)).alias("text"))
@@ -242,7 +237,11 @@ def near_classes(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id", t
         if apart.isEmpty():
             break
         if turn < near.more_leaders:
-            pairs = apart.filter("component <> head.component").selectExpr("least(node, head.node) as a", "greatest(node, head.node) as b")
+            heads = apart.filter("component <> head.component").select("node", "head.*")
+            heads = heads.toDF("node", "head", "group").groupBy("node", "group").agg(
+                F.min_by("head", F.xxhash64("head", F.lit(turn))).alias("head")
+            )
+            pairs = heads.selectExpr("least(node, head) as a", "greatest(node, head) as b")
             found = verified(stage(pairs.distinct(), "near-pairs"), texts, near)
         else:
             clusters = components(apart.selectExpr("low as a", "node as b"), "near-clusters")
