@@ -457,11 +457,15 @@ def fit_on(docs: DataFrame, labels: DataFrame, net: Network = Network(), text_co
     """Fit on a bounded sample of the labelled rows that aren't held out, drawn by hash of the text."""
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     rows = docs.select("doc_id", F.col(text_col).alias("text")).filter(F.char_length("text") <= net.max_chars)
-    rows = rows.join(known.select("doc_id", F.col(label_col).cast("int").alias("label")), "doc_id")
     rows = rows.withColumn("turn", F.xxhash64("text", F.lit(net.seed)))
-    sample = []
-    for label, most in ((1, net.max_toxic), (0, net.max_clean)):
-        sample += rows.filter(F.col("label") == label).orderBy("turn", "doc_id").limit(most).select("text", "label", "turn").collect()
+    # The draw reads hashes; only the drawn texts are gathered, found by a broadcast of their bounded list.
+    drawn = rows.select("doc_id", "turn").join(known.select("doc_id", F.col(label_col).cast("int").alias("label")), "doc_id")
+    parts = [
+        drawn.filter(F.col("label") == label).orderBy("turn", "doc_id").limit(most)
+        for label, most in ((1, net.max_toxic), (0, net.max_clean))
+    ]
+    chosen = parts[0].union(parts[1]).distinct()
+    sample = rows.join(F.broadcast(chosen), ["doc_id", "turn"]).select("text", "label", "turn").collect()
     sample.sort(key=lambda r: (r["turn"], r["label"]))
     return fit([r["text"] for r in sample], [r["label"] for r in sample], net)
 
