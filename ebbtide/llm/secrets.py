@@ -13,6 +13,7 @@ Every text is scanned whole, in one narrow pass; nothing is shuffled.
 
 from __future__ import annotations
 
+import bisect
 import dataclasses
 import math
 import re
@@ -55,9 +56,13 @@ class Entropy:
     allowed_shapes: tuple[str, ...] = (
         r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",  # UUID
         r"sha(?:1|256|384|512)-[A-Za-z0-9+/]+=*",  # integrity digest
-        r"(?:/[A-Za-z0-9_=-]*)+|(?:[A-Za-z0-9_=-]+/)+[A-Za-z0-9_=-]*",  # path
     )
+    path: str = r"(?:/[A-Za-z0-9_=-]*)+|(?:[A-Za-z0-9_=-]+/)+[A-Za-z0-9_=-]*"
+    #: Pieces of a path that are words or numbers: 2024, 1080p, word, WORD, twoWords, word12.
+    wordlike: str = r"[0-9]+|[0-9]{1,4}[A-Za-z]{1,3}|[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|(?:[A-Z]{1,12}|[A-Z]?[a-z]{1,12}(?:[A-Z][a-z]{2,})*)[0-9]{1,4}"
+    unknown: float = 0.6  # share of a window
     allowed_words: tuple[str, ...] = ("example", "placeholder", "changeme", "xxxxxxxx", "your_", "dummy", "sample")
+    reach: int = 40  # characters
 
 
 def entropy_windows(text: str, window: int) -> list[float]:
@@ -94,18 +99,47 @@ class Scanner:
             for c in settings.classes
         ]
         self.shapes = [re.compile(s) for s in settings.allowed_shapes]
-
-    def allowed(self, text: str) -> bool:
-        lower = text.lower()
-        return any(s.fullmatch(text) for s in self.shapes) or any(w in lower for w in self.settings.allowed_words)
+        self.path, self.wordlike = re.compile(settings.path), re.compile(settings.wordlike)
+        self.words = re.compile("|".join(map(re.escape, settings.allowed_words)) or r"(?!)", re.IGNORECASE | re.ASCII)
+        self.unknown = math.ceil(settings.unknown * settings.window)
+
+    def expected(self, text: str) -> bool:
+        return any(s.fullmatch(text) for s in self.shapes)
+
+    def unknown_before(self, path: str) -> list[int]:
+        """For each place of a path, the characters before it that no word, number or expected shape explains."""
+        out = [0]
+        for segment in re.findall(r"[^/]+|/", path):
+            known = self.expected(segment)
+            for piece in re.findall(r"[A-Za-z0-9]+|[^A-Za-z0-9]", segment):
+                step = int(not known and piece.isalnum() and not self.wordlike.fullmatch(piece))
+                out += [out[-1] + step * k for k in range(1, len(piece) + 1)]
+        return out
+
+    def placeholders(self, run: str) -> list[tuple[int, int]]:
+        """The parts of a candidate, in order, that markers of placeholders speak for."""
+        out: list[tuple[int, int]] = []
+        for m in self.words.finditer(run):
+            first, last = m.start() - self.settings.reach, m.end() + self.settings.reach
+            out[-1:] = [(out[-1][0], last)] if out and first <= out[-1][1] else [*out[-1:], (first, last)]
+        return out
+
+    @staticmethod
+    def excuses(parts: list[tuple[int, int]], start: int, end: int) -> bool:
+        k = bisect.bisect_right(parts, start, key=lambda p: p[0]) - 1
+        return k >= 0 and end <= parts[k][1]
 
     def entropy_spans(self, text: str) -> list[tuple[int, int, int]]:
         found = []
         window = self.settings.window
         for m in self.candidate.finditer(text):
             run = m[0]
-            if run.isalpha() or self.allowed(run):
+            if run.isalpha() or self.expected(run):
+                continue
+            unknown = self.unknown_before(run) if "/" in run and self.path.fullmatch(run) else None
+            if unknown and unknown[-1] < self.unknown:
                 continue
+            excused = self.placeholders(run)
             for kind, pattern, limit in self.classes:
                 for part in pattern.finditer(run):
                     base, piece = m.start() + part.start(), part[0]
@@ -116,6 +150,11 @@ class Scanner:
                         inside = piece[i : i + window]
                         if not (any(map(str.isdigit, inside)) and any(map(str.isalpha, inside))):
                             continue
+                        at = part.start() + i
+                        if unknown and unknown[at + window] - unknown[at] < self.unknown:
+                            continue
+                        if excused and self.excuses(excused, at, at + window):
+                            continue
                         if i <= end:
                             end = i + window
                             continue

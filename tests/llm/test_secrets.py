@@ -42,6 +42,42 @@ def test_entropy_and_the_allow_list():
     assert {"hex", "entropy_hex"} <= kinds("531ccd051a92ebcb689f7b2a44de01c6")
 
 
+def entropy(text):
+    return [(a, b) for a, k, b in SCAN(text) if k >= 3]
+
+
+def test_keys_with_slashes_are_found():
+    rng = random.Random(4)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choice(signs) for _ in range(40)) for _ in range(3000)]
+    found = lambda some: sum(bool(entropy(k)) for k in some) / len(some)
+    slashed = [k for k in keys if "/" in k and "+" not in k]
+    assert len(slashed) > 500 and found(slashed) > found([k for k in keys if "/" not in k]) - 0.01 > 0.97
+    assert entropy("Q7/wX2/a9Zk/Lm4R/t8VbN/3cYh/Gp6Ds")  # no piece of a window's length
+
+
+def test_paths_of_words_and_tokens_in_them():
+    for path in (
+        "/usr/local/lib/python3/site-packages/numpy/core/include",
+        "archive/2024/11/05/how-to-bake-bread-at-home-part2",
+        "com/items/123e4567-e89b-12d3-a456-426614174000/edit",
+        "src/main/java/org/apache/commonsLang3/StringUtilsTest1",
+    ):
+        assert entropy(path) == []
+    token = "9fK2LmQ8vR4tZ7wXc1Bn5YdE0hGp"
+    for text in (f"https://hooks.chat.test/services/T024BE7LD/B7XK29QZ1/{token}", f"/v1/{token}/items", f"docs/read/{token}"):
+        (start, end), = entropy(text)
+        assert start <= text.index(token) and end >= text.index(token) + len(token)
+
+
+def test_a_placeholder_speaks_for_its_surroundings_only():
+    assert entropy("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []
+    rng = random.Random(5)
+    run = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(600))
+    spans = entropy(run[:300] + "dummy" + run[300:])
+    assert spans[0][0] < 10 and spans[-1][1] > 595 and sum(b - a for a, b in spans) > 450
+
+
 def test_documents(spark):
     key = "token=" + "Ab3" * 5
     rows = [(1, key, "s"), (1, key, "s"), (2, None, None), (3, "", "s"), (None, "word " * 30_000 + key, "s")]
