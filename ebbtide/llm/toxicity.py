@@ -16,6 +16,7 @@ the tasks.
 from __future__ import annotations
 
 import dataclasses
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,11 @@ from .shingles import U, mixed
 MARKS = ".,;:!?\"'()[]{}<>*_-…»«“”"
 #: Words whose inputs a worker process remembers.
 KEPT = 200_000
+#: Longer tokens are split; at most so many characters, and a step of half as many, where nothing in them separates words.
+LONG, PIECE = 48, 24
+#: Characters of scripts that are written without spaces (Thai to Tibetan, Burmese, Khmer, Chinese, Japanese, Yi).
+UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]+")
+WORD = re.compile(r"[^\W_]+[\W_]*|[\W_]+")
 
 
 @dataclasses.dataclass(frozen=True)
@@ -61,14 +67,40 @@ class Network:
         return 2 * self.vector + 3
 
 
+def pieces(text: str, size: int, step: int) -> list[str]:
+    """Overlapping pieces of a text, the last one ends with it."""
+    return [text[k : k + size] for k in range(0, len(text) - size, step)] + [text[-size:]]
+
+
+def split_long(token: str) -> list[str]:
+    if len(token) <= LONG:
+        return [token] if token else []
+    words = WORD.findall(token)
+    return [p for w in words for p in (pieces(w, PIECE, PIECE // 2) if len(w) > LONG else (w,))]
+
+
 def text_tokens(text: str | None) -> list[str]:
-    return text.lower().split() if text else []
+    """Lower-case tokens between white space. Every character of the text lies in one: scripts without
+    spaces come as all pairs of neighbours, and a token of over ``LONG`` characters as its words, or pieces."""
+    lower = text.lower() if text else ""
+    tokens = lower.split()
+    unspaced = not lower.isascii() and UNSPACED.search(lower) is not None
+    if not unspaced and max(map(len, tokens), default=0) <= LONG:
+        return tokens
+    out: list[str] = []
+    for token in tokens:
+        end = 0
+        for m in UNSPACED.finditer(token) if unspaced else ():
+            out += split_long(token[end : m.start()]) + pieces(m[0], 2, 1)
+            end = m.end()
+        out += split_long(token[end:])
+    return out
 
 
 def word_slots(tokens: list[str], net: Network) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word hash, n-gram hashes, owner of each n-gram): n-grams of the word between two end marks."""
     words = [t.strip(MARKS) or t for t in tokens]
-    raw = [b"\x02" + w.encode("utf-8", "surrogatepass")[:200] + b"\x03" for w in words]
+    raw = [b"\x02" + w.encode("utf-8", "surrogatepass") + b"\x03" for w in words]
     data = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.uint64)
     sizes = np.array([len(r) for r in raw], dtype=np.int64)
     begins = np.cumsum(sizes) - sizes

@@ -99,3 +99,32 @@ def test_one_label_or_none(spark):
     model = toxicity.fit(["a b", "c d"], [0, 0], NET)
     assert 0 < model.probability(toxicity.Scorer(model).logits(["a b"]))[0] < 0.5
     assert 0 <= toxicity.fit([], [], NET).probability(np.zeros(1))[0] <= 1
+
+
+def test_texts_without_spaces_are_read_to_their_end(model):
+    clean = prose(random.Random(6), 400, 3000).split()
+    for joint in (",", "_", "</b><b>"):
+        scorer = toxicity.Scorer(model)
+        base, toxic = scorer.logits([joint.join(clean), joint.join(clean + ["nitwit", "grobian"])])
+        assert toxic > base + 1
+    for text in ("x" * 130 + "nitwit", "-" * 100, "é" * 49 + "z"):
+        assert text.endswith(toxicity.text_tokens(text)[-1]) and set("".join(toxicity.text_tokens(text))) == set(text)
+    assert toxicity.text_tokens("It's 好天气, ok") == ["it's", "好天", "天气", ",", "ok"]
+
+
+def test_unspaced_script():
+    rng = random.Random(7)
+
+    def some(n):
+        rows = []
+        for _ in range(n):
+            text, toxic = [chr(0x4E00 + rng.randrange(400)) for _ in range(rng.randrange(100, 200))], rng.random() < 0.4
+            at = rng.randrange(80, len(text))
+            text[at:at] = "鬱龘" if toxic else ""
+            rows.append(("".join(text), int(toxic)))
+        return rows
+
+    rows, more = some(300), some(150)
+    model = toxicity.fit([t for t, _ in rows], [y for _, y in rows], NET)
+    said = model.probability(toxicity.Scorer(model).logits([t for t, _ in more])) >= 0.3
+    assert np.mean(said == np.array([y for _, y in more])) > 0.9
