@@ -7,8 +7,9 @@ one output says how toxic the window is. All overlapping windows of a text are s
 that of its most toxic window, set to the scale of a probability on the training texts.
 
 The network and the evidence are learnt on the driver, in numpy, from at most ``max_toxic`` toxic and
-``max_clean`` clean labelled texts of at most ``max_chars`` characters, drawn by hash. The evidence of a
-training text comes from the other half of the sample, so that the network learns how far to trust it.
+``max_clean`` clean labelled texts of at most ``max_chars`` characters, drawn by hash; copies within a label
+count once, before the draw. The evidence of a training text comes from the other half of the sample, so that
+the network learns how far to trust it; near copies are dealt to one half as a rule, and all are learnt from.
 Scoring is one narrow pass over the whole texts; the model (a few MB, whatever the input) travels with
 the tasks.
 """
@@ -16,6 +17,7 @@ the tasks.
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 import re
 
 import numpy as np
@@ -51,8 +53,8 @@ class Network:
     max_toxic: int = 2000
     max_clean: int = 4000
     max_chars: int = 20_000
-    #: Texts of the sample that begin with the same words count once.
-    opening: int = 8
+    #: Texts of the sample are taken for near copies when the smallest hash of so many words in a row is the same.
+    kin: int = 5
     epochs: int = 6
     batch: int = 128
     rate: float = 0.01
@@ -359,14 +361,35 @@ class Scorer:
         return best
 
 
+def deal_halves(rows: list[np.ndarray], labels: np.ndarray, net: Network) -> np.ndarray:
+    """The half, 0 or 1, of each text (as word numbers): near copies in one, the classes of a label in turn."""
+    half, given, dealt = np.zeros(len(rows), dtype=np.int64), {}, [0, 0]
+    for k, ids in enumerate(rows):
+        wide = min(net.kin, len(ids))
+        total = np.zeros(max(0, len(ids) - wide + 1), dtype=np.uint64)
+        for i in range(wide):
+            total = mixed(total + ids[i : i + len(total)].astype(np.uint64) + U(i + 1))
+        kin = int(total.min()) if wide else -1
+        if kin not in given:
+            given[kin] = dealt[labels[k]] % 2
+            dealt[labels[k]] += 1
+        half[k] = given[kin]
+    for label in (0, 1):
+        own = np.flatnonzero(labels == label)
+        if len(own) and half[own].min() == half[own].max():  # near copies only: the other half must know the label too
+            half[own] = np.arange(len(own)) % 2
+    return half
+
+
 def fit(texts: list[str], labels: list[int], net: Network = Network()) -> Model:
     """Fit a model on labelled texts. Without both labels it gives every text the share of label 1."""
     # Copies would carry a text's own words into the other half, and count them as evidence twice.
     tokens, own, seen = [], [], set()
     for k, text in enumerate(texts):
         words = text_tokens(text)
-        if tuple(words[: net.opening]) not in seen:
-            seen.add(tuple(words[: net.opening]))
+        key = (labels[k], hashlib.sha256("\n".join(words).encode("utf-8", "surrogatepass")).digest())
+        if key not in seen:
+            seen.add(key)
             tokens.append(words)
             own.append(k)
     texts, labels = [texts[k] for k in own], np.array([labels[k] for k in own], dtype=np.int64)
@@ -375,13 +398,14 @@ def fit(texts: list[str], labels: list[int], net: Network = Network()) -> Model:
     number = dict(zip(names, range(len(names))))
     rows = [np.fromiter(map(number.__getitem__, t), dtype=np.int64, count=len(t)) for t in tokens]
     ends = np.append(inputs.starts, len(inputs.gram_id))
+    half = deal_halves(rows, labels, net)
     halves = [Evidence(net), Evidence(net)]
     whole = Evidence(net)
     for k, ids in enumerate(rows):
         distinct = np.unique(ids)
         spans = [inputs.gram_id[ends[i] : ends[i + 1]] for i in distinct]
         grams = np.unique(np.concatenate(spans)) if spans else np.zeros(0, dtype=np.int64)
-        for part in (halves[k % 2], whole):
+        for part in (halves[half[k]], whole):
             part.add(np.unique(inputs.word_id[distinct]), grams, int(labels[k]))
     weights = start_weights(net)
     word_odds, gram_odds = whole.odds()
@@ -396,7 +420,7 @@ def fit(texts: list[str], labels: list[int], net: Network = Network()) -> Model:
         if len(ids):
             starts = window_starts(len(ids), net)
             at, mask = window_words(ids, starts, net)
-            strong = np.where(mask, fixed[k % 2][at].max(axis=2), -np.inf).max(axis=0)
+            strong = np.where(mask, fixed[half[k]][at].max(axis=2), -np.inf).max(axis=0)
             chosen.append((k, int(starts[np.argmax(strong)])))
             if not labels[k]:
                 chosen.append((k, int(rng.choice(starts))))
@@ -404,13 +428,13 @@ def fit(texts: list[str], labels: list[int], net: Network = Network()) -> Model:
     parts = [window_words(rows[k], np.array([s]), net) for k, s in chosen]
     words, mask = np.concatenate([p[0] for p in parts], axis=1), np.concatenate([p[1] for p in parts], axis=1)
     target = labels[owner].astype(np.float32)
-    train(weights, inputs, fixed, words, mask, owner % 2, target, net, rng)
+    train(weights, inputs, fixed, words, mask, half[owner], target, net, rng)
 
     # The scale: one logistic fit on the texts' largest outputs, each half with the other's evidence.
     best = np.full(len(rows), -np.inf)
-    for half in (0, 1):
-        scorer = Scorer(Model(net, weights, *halves[1 - half].odds(), (1.0, 0.0)))
-        own = np.arange(half, len(rows), 2)
+    for part in (0, 1):
+        scorer = Scorer(Model(net, weights, *halves[1 - part].odds(), (1.0, 0.0)))
+        own = np.flatnonzero(half == part)
         for first in range(0, len(own), 200):
             some = own[first : first + 200]
             best[some] = scorer.logits([texts[k] for k in some])
@@ -492,12 +516,14 @@ def fit_on(docs: DataFrame, labels: DataFrame, net: Network = Network(), text_co
     rows = rows.withColumn("turn", F.xxhash64("text", F.lit(net.seed)))
     # The draw reads hashes; only the drawn texts are gathered, found by a broadcast of their bounded list.
     drawn = rows.select("doc_id", "turn").join(known.select("doc_id", F.col(label_col).cast("int").alias("label")), "doc_id")
+    drawn = drawn.groupBy("label", "turn").agg(F.min("doc_id").alias("doc_id"))  # a text counts once in its label
     parts = [
-        drawn.filter(F.col("label") == label).orderBy("turn", "doc_id").limit(most)
+        drawn.filter(F.col("label") == label).orderBy("turn").limit(most).select("doc_id", "turn", "label")
         for label, most in ((1, net.max_toxic), (0, net.max_clean))
     ]
-    chosen = parts[0].union(parts[1]).distinct()
-    sample = rows.join(F.broadcast(chosen), ["doc_id", "turn"]).select("text", "label", "turn").collect()
+    chosen = parts[0].union(parts[1])
+    sample = rows.join(F.broadcast(chosen), ["doc_id", "turn"]).select("text", "label", "turn")
+    sample = sample.dropDuplicates(["turn", "label"]).collect()  # rows may be repeated
     sample.sort(key=lambda r: (r["turn"], r["label"]))
     return fit([r["text"] for r in sample], [r["label"] for r in sample], net)
 

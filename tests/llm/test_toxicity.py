@@ -128,3 +128,32 @@ def test_unspaced_script():
     model = toxicity.fit([t for t, _ in rows], [y for _, y in rows], NET)
     said = model.probability(toxicity.Scorer(model).logits([t for t, _ in more])) >= 0.3
     assert np.mean(said == np.array([y for _, y in more])) > 0.9
+
+
+def test_texts_with_one_header_are_all_learnt_from():
+    header = "welcome to the forum of the old town please read on "
+    rows, more = [[(header + t, y) for t, y in labelled(n, seed)] for n, seed in ((400, 8), (200, 9))]
+    model = toxicity.fit([t for t, _ in rows], [y for _, y in rows], NET)
+    said = model.probability(toxicity.Scorer(model).logits([t for t, _ in more])) >= 0.3
+    assert np.mean(said == np.array([y for _, y in more])) > 0.95
+
+
+def test_halves():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 5000, 300)
+    near = [np.append(base, k) for k in range(10)]
+    rows = near + [rng.integers(0, 5000, 200) for _ in range(40)]
+    half = toxicity.deal_halves(rows, np.array([1] * 20 + [0] * 30), NET)
+    assert len(set(half[:10])) == 1 and sorted(np.bincount(half[20:])) == [15, 15]
+    assert sorted(np.bincount(toxicity.deal_halves(near, np.ones(10, dtype=int), NET))) == [5, 5]
+
+
+def test_the_draw_counts_copies_once(spark, monkeypatch):
+    texts = [(f"text {k % 20} of its kind", int(k % 20 < 10)) for k in range(400)] + [("text 3 of its kind", 0)]
+    docs = frame(spark, [(i, t, "s") for i, (t, _) in enumerate(texts)] + [(0, texts[0][0], "s")])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, net: sorted(zip(texts, labels)))
+    got = toxicity.fit_on(docs, labels, toxicity.Network(max_toxic=8, max_clean=20))
+    assert len(got) == len(set(got)) and sum(y for _, y in got) == 8
+    out = zlib.crc32(b"400") % 4 == 2
+    assert len([t for t, y in got if not y]) == 11 - out
