@@ -3,8 +3,8 @@
 A word's input is made of the word itself (a trained vector, and how much more often the word stands in
 toxic texts) and of its characters (the mean of its n-grams' trained vectors, and their largest and
 mean such evidence). Two recurrent passes read a window of words, attention weighs their states, and
-one output says how toxic the window is. All overlapping windows of a text are scored; its score is
-that of its most toxic window, set to the scale of a probability on the training texts.
+one output says how toxic the window is. All overlapping windows of a text, one from each word on, are
+scored; its score is that of its most toxic window, set to the scale of a probability on the training texts.
 
 The network and the evidence are learnt on the driver, in numpy, from at most ``max_toxic`` toxic and
 ``max_clean`` clean labelled texts of at most ``max_chars`` characters, drawn by hash; copies within a label
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import dataclasses
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -43,7 +44,7 @@ class Network:
     """Settings of the network and of the sample that it is fitted on."""
 
     window: int = 32
-    stride: int = 16
+    stride: int = 1
     hidden: int = 6
     vector: int = 4
     grams: tuple[int, ...] = (4, 5, 6)
@@ -340,27 +341,89 @@ class Scorer:
         """The largest window output of each text; minus infinity without words."""
         net = self.model.net
         tokens = [text_tokens(t) for t in texts]
-        self.learn(set().union(*tokens) if tokens else set())
         best = np.full(len(texts), -np.inf)
-        words, masks, owners = [], [], []
-        for k, own in enumerate(tokens):
-            if own:
-                ids = np.fromiter(map(self.ids.__getitem__, own), dtype=np.int64, count=len(own))
-                at, mask = window_words(ids, window_starts(len(ids), net), net)
-                words.append(at)
-                masks.append(mask)
-                owners.append(np.full(at.shape[1], k))
-        if not words:
-            return best
-        words, masks, owners = np.concatenate(words, axis=1), np.concatenate(masks, axis=1), np.concatenate(owners)
-        for first in range(0, words.shape[1], 2048):
-            part = slice(first, first + 2048)
-            gates = np.moveaxis(self.gates[words[:, part]], 2, 0)
-            out, _ = forward(gates, masks[:, part], self.model.weights)
-            np.maximum.at(best, owners[part], out)
+        sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+        for first in range(0, len(texts), 500):
+            self.learn(set().union(*tokens[first : first + 500]))
+            short = [k for k in range(first, min(first + 500, len(texts))) if 0 < sizes[k] < net.window]
+            if short:
+                ids = [np.fromiter(map(self.ids.__getitem__, tokens[k]), dtype=np.int64, count=sizes[k]) for k in short]
+                parts = [window_words(i, window_starts(len(i), net), net) for i in ids]
+                words, mask = np.concatenate([p[0] for p in parts], axis=1), np.concatenate([p[1] for p in parts], axis=1)
+                best[short] = forward(np.moveaxis(self.gates[words], 2, 0), mask, self.model.weights)[0]
+            full = [k for k in range(first, min(first + 500, len(texts))) if sizes[k] >= net.window]
+            if full:
+                names = itertools.chain.from_iterable(tokens[k] for k in full)
+                flat = np.fromiter(map(self.ids.__getitem__, names), dtype=np.int64, count=int(sizes[full].sum()))
+                begins = np.cumsum(sizes[full]) - sizes[full]
+                starts = [b + window_starts(int(n), net) for b, n in zip(begins, sizes[full])]
+                out = window_outputs(flat, np.concatenate(starts), self.gates, self.model)
+                counts = np.array([len(x) for x in starts])
+                best[full] = np.maximum.reduceat(out, np.cumsum(counts) - counts)
         return best
 
 
+def window_outputs(ids: np.ndarray, starts: np.ndarray, gates: np.ndarray, model: Model, rows: int = 4096) -> np.ndarray:
+    """The outputs of full windows that begin at ``starts`` (ascending), as ``forward`` gives them.
+
+    An array holds one feature of all windows, so that each step runs along them. If most windows are
+    wanted, a step's words are a stretch of the text, and nothing is gathered. States are held as
+    u = (state + 1) / 2, so that every gate is a logistic function 1 / (1 + exp(-x)), and -x is what is added up.
+    """
+    net, w = model.net, model.weights
+    h, steps = net.hidden, net.window
+    sign = np.repeat(np.float32([-1, -2]), [2 * h, h])  # tanh(x) = 2 / (1 + exp(-2 x)) - 1
+    recurrent = [2 * sign[:, None] * w["h"][d].T for d in (0, 1)]
+    offset = [-sign * w["h"][d].sum(axis=0) for d in (0, 1)]
+    pool, pool_b = -4 * w["a"].T, -2 * (w["a_b"] - w["a"].sum(axis=0))
+    result = np.empty(len(starts), dtype=np.float32)
+    first = 0
+    while first < len(starts):
+        low = starts[first]
+        last = int(np.searchsorted(starts, low + rows)) if net.stride == 1 else min(len(starts), first + rows)
+        dense = 2 * (last - first) > starts[last - 1] + 1 - low
+        n = int(starts[last - 1] + 1 - low) if dense else last - first
+        words = gates[ids[low : starts[last - 1] + steps]] * sign
+        words[:, :, : 2 * h] += np.stack(offset)[:, : 2 * h]
+        words = words.transpose(1, 2, 0).copy()  # [2, 3 * hidden, words]
+        at = starts[first:last] - low
+        states = np.empty((steps, 2 * h, n), dtype=np.float32)
+        own = np.empty((3 * h, n), dtype=np.float32)
+        zr, z, r, new = own[: 2 * h], own[:h], own[h : 2 * h], own[2 * h :]
+        with np.errstate(over="ignore"):
+            for d in (0, 1):
+                state = np.full((h, n), 0.5, dtype=np.float32)
+                for t in range(steps) if d == 0 else range(steps - 1, -1, -1):
+                    x = words[d][:, t : t + n] if dense else words[d].take(at + t, axis=1)
+                    np.matmul(recurrent[d], state, out=own)
+                    zr += x[: 2 * h]
+                    quick_logistic(zr)
+                    new += offset[d][2 * h :, None]
+                    new *= r
+                    new += x[2 * h :]
+                    quick_logistic(new)
+                    at_t = states[t, d * h : (d + 1) * h]
+                    np.subtract(state, new, out=at_t)
+                    at_t *= z
+                    at_t += new
+                    state = at_t
+            hidden = pool @ states
+            hidden += pool_b[:, None]
+            level = 2 * (w["a_v"] @ quick_logistic(hidden))
+        share = np.exp(level - level.max(axis=0))
+        out = 2 * (share * (w["o"] @ states)).sum(axis=0) / share.sum(axis=0) + (w["o_b"][0] - w["o"].sum())
+        result[first:last] = out[at] if dense else out
+        first = last
+    return result
+
+
+def quick_logistic(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in place."""
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 def deal_halves(rows: list[np.ndarray], labels: np.ndarray, net: Network) -> np.ndarray:
     """The half, 0 or 1, of each text (as word numbers): near copies in one, the classes of a label in turn."""
     half, given, dealt = np.zeros(len(rows), dtype=np.int64), {}, [0, 0]

@@ -1,3 +1,4 @@
+import dataclasses
 import random
 import zlib
 
@@ -157,3 +158,29 @@ def test_the_draw_counts_copies_once(spark, monkeypatch):
     assert len(got) == len(set(got)) and sum(y for _, y in got) == 8
     out = zlib.crc32(b"400") % 4 == 2
     assert len([t for t, y in got if not y]) == 11 - out
+
+
+def test_where_a_passage_stands_changes_nothing(model):
+    net = dataclasses.replace(NET, stride=toxicity.Network().stride)
+    scorer = toxicity.Scorer(toxicity.Model(net, model.weights, model.word_odds, model.gram_odds, model.scale))
+    rng = random.Random(10)
+    clean, passage = prose(rng, 200, 3000).split(), prose(rng, net.window, 3000).split()
+    passage[0], passage[-1] = "nitwit", "grobian"
+    alone = scorer.logits([" ".join(passage)])[0]
+    moved = scorer.logits([" ".join(clean[: 40 + k] + passage + clean[40 + k :]) for k in range(16)])
+    assert (moved >= alone - 1e-4).all() and (model.probability(moved) >= 0.3).all()
+
+
+@pytest.mark.parametrize("stride", [1, 2, 7])
+def test_outputs_by_feature(model, stride):
+    net = dataclasses.replace(NET, stride=stride)
+    own = toxicity.Model(net, model.weights, model.word_odds, model.gram_odds, model.scale)
+    texts = [prose(random.Random(k), n, 3000) for k, n in enumerate((1, 5, 11, 12, 13, 40, 700))] + ["", None]
+    scorer = toxicity.Scorer(own)
+    got = scorer.logits(texts)
+    for text, value in zip(texts[:-2], got):
+        ids = np.array([scorer.ids[w] for w in toxicity.text_tokens(text)])
+        at, mask = toxicity.window_words(ids, toxicity.window_starts(len(ids), net), net)
+        out, _ = toxicity.forward(np.moveaxis(scorer.gates[at], 2, 0), mask, own.weights)
+        assert value == pytest.approx(out.max(), abs=1e-4)
+    assert (got[-2:] == -np.inf).all()
