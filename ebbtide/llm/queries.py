@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blocks, bpe, lines, minhash, mixing, neighbours, repeats, secrets, toxicity
+from . import blocks, bpe, lines, minhash, mixing, neighbours, rank_bpe, repeats, secrets, toxicity
 from .common import read
 
 
@@ -248,12 +248,12 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def token_digests(rows: DataFrame) -> DataFrame:
+def token_digests(rows: DataFrame, between: str = ",") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of encoded documents."""
     return rows.select(
         "__row.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2(F.array_join("ids", between), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
@@ -267,6 +267,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_digests(rank_bpe.encode_documents(docs, path, public_tokenizers.PATTERN), " ")
+
+
 QUERIES: dict[str, Query] = {
     "op1_flat_blocks": Query(op1),
     "op2_prefix_intervals": Query(op2),
@@ -278,4 +286,5 @@ QUERIES: dict[str, Query] = {
     "op8_sainte_lague": Query(op8, OP8_SQL),
     "op9_tree_bpe": Query(op9),
     "op10_bag_minhash": Query(op10),
+    "op13_rank_bpe": Query(op13),
 }
