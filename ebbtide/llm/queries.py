@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blocks, bpe, lines, minhash, mixing, neighbours, rank_bpe, repeats, secrets, toxicity
+from . import blocks, bpe, lines, minhash, mixing, neighbours, rank_bpe, ranked, repeats, secrets, toxicity
 from .common import read
 
 
@@ -175,6 +175,36 @@ from placed left join taken using (key, copy)
 """
 
 
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+OP12_SQL = f"""
+with docs as (select row_number() over () as r, doc_id, {_TERMS} as terms from documents),
+wanted as (select distinct item_id, term from (select item_id, unnest({_TERMS}) as term from benchmark)),
+totals as (select count(*) filter (len(terms) > 0) as n_docs, sum(len(terms))::bigint as n_terms from docs),
+held as (
+  select r, term, count(*) as tf from (select r, unnest(terms) as term from docs)
+  where term in (select term from wanted) group by r, term
+),
+weights as (
+  select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)))::bigint as w
+  from (select term, count(*) as df from held group by term), totals
+),
+sizes as (select r, doc_id, 10 + (90 * len(terms) * n_docs) // n_terms as m from docs, totals where len(terms) > 0),
+scores as (
+  select item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from wanted join held using (term) join weights using (term) join sizes using (r) group by item_id, r
+)
+select item_id, rank, doc_id, score from (
+  select item_id, doc_id, score,
+    row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank
+  from scores join sizes using (r) where score > 0
+) where rank <= 10
+"""
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.quality_rules(read(spark, sf_dir, "documents"))
     own = [F.col(c).alias(c[2:]) for c in rows.columns if c != "__row"]
@@ -267,6 +297,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -286,5 +320,6 @@ QUERIES: dict[str, Query] = {
     "op8_sainte_lague": Query(op8, OP8_SQL),
     "op9_tree_bpe": Query(op9),
     "op10_bag_minhash": Query(op10),
+    "op12_impact_tiles": Query(op12, OP12_SQL),
     "op13_rank_bpe": Query(op13),
 }
