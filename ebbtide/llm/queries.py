@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blocks, bpe, lines, minhash, mixing, neighbours, rank_bpe, ranked, repeats, secrets, toxicity
+from . import blocks, bpe, lines, minhash, mixing, neighbours, rank_bpe, ranked, repeats, secrets, toxicity, whitening
 from .common import read
 
 
@@ -297,6 +297,25 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    rows = whitening.whiten(vectors, model)
+    error = whitening.identity_error(rows, len(model.eigenvalues))
+    shares = F.array(*[F.lit(x) for x in model.explained]).cast("array<double>")
+    return rows.select(
+        F.col("__row.vec_id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("place", "whitened")
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).cast("int").alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        F.get(shares, F.col("place")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -320,6 +339,7 @@ QUERIES: dict[str, Query] = {
     "op8_sainte_lague": Query(op8, OP8_SQL),
     "op9_tree_bpe": Query(op9),
     "op10_bag_minhash": Query(op10),
+    "op11_exact_whitening": Query(op11),
     "op12_impact_tiles": Query(op12, OP12_SQL),
     "op13_rank_bpe": Query(op13),
 }
