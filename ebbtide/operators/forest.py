@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..options import Options
+from .bagging import BaggedForest, fit_bagged, gini_decrease
+from .levels import learn_levels
 from .splitting import split_hash
 
 RAW = "raw_score"
@@ -64,6 +66,21 @@ def _weighted(df: DataFrame, response: str, options: Options) -> tuple[DataFrame
     return rows.withColumn("label", F.col(response).cast("double")).withColumn("weight", weight), rate
 
 
+def learn(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], response: str, trees: int, options: Options
+) -> BaggedForest | PipelineModel:
+    """A forest by the learner that the options name."""
+    if options.forest_learner == "mllib":
+        return fit_forest(df, numeric, categorical, response, trees, options)
+    if options.forest_learner != "bagged":
+        raise ValueError(f"unknown learner: {options.forest_learner}")
+    goods, bads = class_sizes(df, response)
+    if not goods or not bads:
+        raise ValueError("training rows need both response classes")
+    levels = learn_levels(df, categorical, options.max_levels)
+    return fit_bagged(df, numeric, categorical, response, (goods, bads), levels, trees, options)
+
+
 def fit_forest(
     df: DataFrame,
     numeric: Sequence[str],
@@ -111,14 +128,18 @@ def fit_boosted(
     )
 
 
-def predictors(model: PipelineModel) -> list[str]:
+def predictors(model: BaggedForest | PipelineModel) -> list[str]:
     """Column names a fitted model reads, in feature order."""
+    if isinstance(model, BaggedForest):
+        return model.predictors
     assembler = next(stage for stage in model.stages if isinstance(stage, VectorAssembler))
     return [name.removesuffix("__level") for name in assembler.getInputCols()]
 
 
-def gini_importance(model: PipelineModel, spark) -> DataFrame:
-    """``variable, mean_decrease_gini``: one row per predictor."""
+def gini_importance(model: BaggedForest | PipelineModel, spark) -> DataFrame:
+    """``variable, mean_decrease_gini``: one row per predictor. MLlib's add up to 1."""
+    if isinstance(model, BaggedForest):
+        return gini_decrease(model, spark)
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(name, float(weight)) for name, weight in zip(predictors(model), weights)]
     return spark.createDataFrame(rows, "variable string, mean_decrease_gini double")
@@ -129,8 +150,10 @@ def top_variables(importance: DataFrame, n: int) -> list[str]:
     return [row["variable"] for row in ordered.collect()]
 
 
-def add_scores(df: DataFrame, model: PipelineModel, name: str = RAW) -> DataFrame:
+def add_scores(df: DataFrame, model: BaggedForest | PipelineModel, name: str = RAW) -> DataFrame:
     """Probability of class 1, keeping only the caller's columns."""
+    if isinstance(model, BaggedForest):
+        return df.select(*df.columns, model.score().alias(name))
     scored = model.transform(df)
     return scored.select(*df.columns, vector_to_array("probability")[1].alias(name))
 
@@ -159,7 +182,7 @@ def out_of_fold_scores(
 
 def accuracy_importance(
     df: DataFrame,
-    model: PipelineModel,
+    model: BaggedForest | PipelineModel,
     response: str,
     id_column: str,
     options: Options,
@@ -192,8 +215,8 @@ def accuracy_importance(
     copies = moved.select("_truth", F.explode(F.array(*variants)).alias("_x")).select(
         "_truth", "_x.variable", "_x.v.*"
     )
-    right = F.avg((F.col("prediction") == F.col("_truth")).cast("double"))
-    accuracy = model.transform(copies).groupBy("variable").agg(right.alias("accuracy"))
+    right = F.avg(((F.col(RAW) >= 0.5).cast("double") == F.col("_truth")).cast("double"))
+    accuracy = add_scores(copies, model).groupBy("variable").agg(right.alias("accuracy"))
     base = F.max(F.when(F.col("variable") == "", F.col("accuracy"))).over(Window.partitionBy(F.lit(0)))
     # one row per variable
     return (
@@ -215,11 +238,3 @@ def importance_table(gini_rows: DataFrame, accuracy_rows: DataFrame | None = Non
     return gini_rows.join(accuracy_rows, "variable", "left").orderBy(
         F.desc("mean_decrease_gini"), "variable"
     )
-
-
-def describe_levels(model: PipelineModel) -> Mapping[str, list[str]]:
-    """Indexer labels by category, as learnt."""
-    for stage in model.stages:
-        if hasattr(stage, "labelsArray"):
-            return dict(zip(stage.getInputCols(), [list(labels) for labels in stage.labelsArray]))
-    return {}

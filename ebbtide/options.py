@@ -64,8 +64,11 @@ class Options:
 
     # learners
     forest_trees: tuple[int, int] = (400, 200)
-    forest_sample_share: float = 0.1
-    forest_depth: int = 5
+    # "bagged": fully grown trees on balanced draws; "mllib": bounded depth, level by level over all rows
+    forest_learner: str = "bagged"
+    forest_sample_share: float = 0.1  # of the positives, drawn from each class for each tree
+    forest_sample_most: int = 20_000  # at most so many of each class: a tree's sample fits in a task
+    forest_depth: int = 5  # of MLlib's trees
     forest_memory_mb: int = 1024
     top_variables: int = 15
     scope_variables: int = 30

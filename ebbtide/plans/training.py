@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import (
+    bagging,
     calibration,
     cleaning,
     evaluation,
@@ -117,7 +118,7 @@ class Trained:
     model: PropensityModel
     prepared: Prepared
     tested: DataFrame  # test rows with raw and calibrated scores
-    first: PipelineModel | None = None  # the forest on all surviving variables
+    first: bagging.BaggedForest | PipelineModel | None = None  # the forest on all surviving variables
 
 
 def train(frame: DataFrame, options: Options, prepared: Prepared | None = None) -> Trained:
@@ -130,12 +131,12 @@ def train(frame: DataFrame, options: Options, prepared: Prepared | None = None)
     spark = sets.train.sparkSession
     rows = stage(sets.train, "train")
     first_size, second_size = options.forest_trees
-    raw = forest.fit_forest(rows, sets.numeric, sets.categorical, RESPONSE, first_size, options)
+    raw = forest.learn(rows, sets.numeric, sets.categorical, RESPONSE, first_size, options)
     importance = forest.gini_importance(raw, spark)
     top = forest.top_variables(importance, options.top_variables)
     scope = forest.top_variables(importance, options.scope_variables)
     numeric, categorical = forest.split_kinds(top, sets.categorical)
-    final = forest.fit_forest(rows, numeric, categorical, RESPONSE, second_size, options)
+    final = forest.learn(rows, numeric, categorical, RESPONSE, second_size, options)
     log.info("learning done")
 
     tested = stage(forest.add_scores(sets.test.filter(F.col(RESPONSE).isNotNull()), final), "tested")
@@ -161,33 +162,42 @@ def train(frame: DataFrame, options: Options, prepared: Prepared | None = None)
     return Trained(model, sets, tested, raw)
 
 
+def unseen_results(done: Trained) -> tuple[str, DataFrame, DataFrame]:
+    """Training rows scored by trees that have not seen them, and the first forest's loss of accuracy by variable."""
+    model, sets, options = done.model, done.prepared, done.model.options
+    if isinstance(model.forest, bagging.BaggedForest):
+        scores = bagging.out_of_bag_scores(sets.train, model.forest, options.id_column, forest.RAW)
+        return "out_of_bag", scores, bagging.out_of_bag_importance(sets.train, done.first, RESPONSE, options)
+    numeric, categorical = forest.split_kinds(model.top, sets.categorical)
+    scores = forest.out_of_fold_scores(
+        sets.train, numeric, categorical, RESPONSE, options.id_column, options.forest_trees[1], options
+    )
+    accuracy = forest.accuracy_importance(sets.test, done.first, RESPONSE, options.id_column, options)
+    return "out_of_fold", scores, accuracy
+
+
 def evaluated(done: Trained) -> Trained:
     """The same project with its evaluation among its tables, saved and loaded with it.
 
-    ``accuracy`` is the first forest's second importance measure. ``gini`` has the out-of-fold scores
-    of the training rows and the scores of the test rows; ``bins_train`` and ``bins_test`` are the
-    optimal bins of both. ``ks``, ``deciles``, ``reliability`` and ``sweep`` are those of the test
-    rows. All are a few rows, written once; the test scores are ranked once for them all.
+    ``accuracy`` is the first forest's second importance measure: out of bag, or on the test rows for MLlib's trees.
+    ``gini`` has the out-of-bag (MLlib: out-of-fold) scores of the training rows and the scores of the test rows;
+    ``bins_train`` and ``bins_test`` are the optimal bins of both. ``ks``, ``deciles``, ``reliability`` and
+    ``sweep`` are those of the test rows. All are a few rows, written once; the test scores are ranked once for
+    them all.
     """
     model, sets, options = done.model, done.prepared, done.model.options
-    numeric, categorical = forest.split_kinds(model.top, sets.categorical)
-    trees = options.forest_trees[1]
-    unseen = stage(
-        forest.out_of_fold_scores(
-            sets.train, numeric, categorical, RESPONSE, options.id_column, trees, options
-        ).select(RESPONSE, forest.RAW),
-        "out-of-fold",
-    )
+    kind, unseen, accuracy = unseen_results(done)
+    unseen = stage(unseen.select(RESPONSE, forest.RAW).filter(F.col(forest.RAW).isNotNull()), kind)
     ranked = evaluation.ranked_scores(done.tested, CALIBRATED, RESPONSE)
     ginis = [
         evaluation.gini(rows).select(F.lit(label).alias("rows"), "gini")
         for label, rows in (
-            ("train_out_of_fold", evaluation.ranked_scores(unseen, forest.RAW, RESPONSE)),
+            (f"train_{kind}", evaluation.ranked_scores(unseen, forest.RAW, RESPONSE)),
             ("test", ranked),
         )
     ]
     tables = {
-        "accuracy": forest.accuracy_importance(sets.test, done.first, RESPONSE, options.id_column, options),
+        "accuracy": accuracy,
         "gini": ginis[0].unionByName(ginis[1]),
         "ks": evaluation.ks(ranked),
         "deciles": evaluation.decile_ranges(ranked),

@@ -1,4 +1,4 @@
-"""A trained project on disk: metadata as Parquet, the forest as an MLlib model."""
+"""A trained project on disk: metadata and trees as Parquet, or the forest as an MLlib model."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import dataclasses
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.bagging import BaggedForest
 from ..operators.calibration import Calibration
 from ..options import Options
 
@@ -23,7 +24,7 @@ class PropensityModel:
     levels: dict[str, list[str | None]]
     top: list[str]
     scope: list[str]
-    forest: PipelineModel
+    forest: BaggedForest | PipelineModel
     calibration: Calibration
     # roles, iv, importance: one row per variable; once evaluated, its evaluation tables as well
     tables: dict[str, DataFrame]
@@ -59,7 +60,11 @@ def save_project(model: PropensityModel, path: str, spark: SparkSession) -> None
     for name, table in model.tables.items():
         table.write.mode("overwrite").parquet(f"{path}/table-{name}")
     put("tables", [(name,) for name in model.tables], "name string")
-    model.forest.write().overwrite().save(f"{path}/forest")
+    if isinstance(model.forest, BaggedForest):
+        model.forest.trees.write.mode("overwrite").parquet(f"{path}/forest-trees")
+        put("forest-predictors", list(enumerate(model.forest.predictors)), "place int, variable string")
+    else:
+        model.forest.write().overwrite().save(f"{path}/forest")
 
 
 def load_project(spark: SparkSession, path: str) -> PropensityModel:
@@ -73,8 +78,19 @@ def load_project(spark: SparkSession, path: str) -> PropensityModel:
     for row in get("levels", "variable", "place"):
         levels.setdefault(row["variable"], []).append(row["level"])
     settings = get("settings", "options")[0]
+    options = Options.from_json(settings["options"])
+    if options.forest_learner == "bagged":
+        names = [row["variable"] for row in get("forest-predictors", "place")]
+        forest = BaggedForest(
+            numeric=[n for n in names if n not in levels],
+            categorical=[n for n in names if n in levels],
+            levels={n: levels[n] for n in names if n in levels},
+            trees=spark.read.parquet(f"{path}/forest-trees"),
+        )
+    else:
+        forest = PipelineModel.load(f"{path}/forest")
     return PropensityModel(
-        options=Options.from_json(settings["options"]),
+        options=options,
         numeric=lists["numeric"],
         categorical=lists["categorical"],
         kept_numeric=lists["kept_numeric"],
@@ -82,7 +98,7 @@ def load_project(spark: SparkSession, path: str) -> PropensityModel:
         levels=levels,
         top=lists["top"],
         scope=lists["scope"],
-        forest=PipelineModel.load(f"{path}/forest"),
+        forest=forest,
         calibration=Calibration(settings["intercept"], settings["slope"]),
         tables={
             row["name"]: spark.read.parquet(f"{path}/table-{row['name']}") for row in get("tables", "name")

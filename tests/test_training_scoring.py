@@ -14,6 +14,7 @@ from samples import keyed
 
 OPTIONS = Options(
     non_predictive=("account_key",),
+    forest_learner="mllib",
     forest_trees=(10, 8),
     top_variables=3,
     scope_variables=4,
