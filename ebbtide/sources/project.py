@@ -54,8 +54,8 @@ def save_project(model: PropensityModel, path: str, spark: SparkSession) -> None
     )
     put(
         "settings",
-        [(model.options.to_json(), model.calibration.intercept, model.calibration.slope)],
-        "options string, intercept double, slope double",
+        [(model.options.to_json(), *dataclasses.astuple(model.calibration))],
+        "options string, intercept double, slope double, intercept_error double, slope_error double, cut double, rate double",
     )
     for name, table in model.tables.items():
         table.write.mode("overwrite").parquet(f"{path}/table-{name}")
@@ -99,7 +99,7 @@ def load_project(spark: SparkSession, path: str) -> PropensityModel:
         top=lists["top"],
         scope=lists["scope"],
         forest=forest,
-        calibration=Calibration(settings["intercept"], settings["slope"]),
+        calibration=Calibration(*settings[1:]),
         tables={
             row["name"]: spark.read.parquet(f"{path}/table-{row['name']}") for row in get("tables", "name")
         },
