@@ -91,7 +91,7 @@ def encoded(numeric: Sequence[str], levels: dict[str, list[str | None]]) -> Colu
     return F.array(*[F.col(name).cast("double") for name in numeric], *codes)
 
 
-def _matrix(values: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+def matrix_of(values: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     flat = values.combine_chunks().flatten() if isinstance(values, pa.ChunkedArray) else values.flatten()
     return np.nan_to_num(flat.fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(-1, width), nan=np.inf)
 
@@ -134,9 +134,11 @@ def _best_levels(codes: np.ndarray, ones: np.ndarray, weight: np.ndarray):
     return purity[best], sorted(present[order[: best + 1]].tolist())
 
 
-def grow(features: np.ndarray, labels: np.ndarray, times: np.ndarray, categories: int, tries: int, rng) -> dict:
-    """A tree grown to the end. The last ``categories`` columns are codes. Ties go to the variable drawn first and
-    to the lowest cut; an even leaf votes for class 1."""
+def grow(
+    features: np.ndarray, labels: np.ndarray, times: np.ndarray, categories: int, tries: int, rng, depth: int | None = None
+) -> dict:
+    """A tree grown to the end, or to a ``depth``. The last ``categories`` columns are codes. Ties go to the variable
+    drawn first and to the lowest cut; an even leaf votes for class 1. ``times`` are weights, whole or not."""
     width = features.shape[1]
     weight = times.astype(np.float64)
     ones = weight * (labels == 1)
@@ -150,9 +152,11 @@ def grow(features: np.ndarray, labels: np.ndarray, times: np.ndarray, categories
             out[name].append(value)
         return len(out["vote"]) - 1
 
-    waiting = [(node(np.arange(len(labels))), np.arange(len(labels)))]
+    waiting = [(node(np.arange(len(labels))), np.arange(len(labels)), 0)]
     while waiting:
-        place, rows = waiting.pop()
+        place, rows, level = waiting.pop()
+        if level == depth:
+            continue
         own, heavy = ones[rows], weight[rows]
         good, total = own.sum(), heavy.sum()
         if good == 0 or good == total:
@@ -174,7 +178,7 @@ def grow(features: np.ndarray, labels: np.ndarray, times: np.ndarray, categories
         out["decrease"][place] = float(purity - _purity(np.array([good]), np.array([total]))[0])
         out["left"][place] = node(left)
         out["right"][place] = node(right)
-        waiting += [(out["right"][place], right), (out["left"][place], left)]
+        waiting += [(out["right"][place], right, level + 1), (out["left"][place], left, level + 1)]
     return out
 
 
@@ -279,15 +283,33 @@ class BaggedForest:
         def share(features: pd.Series) -> pd.Series:
             if not len(features):
                 return pd.Series([], dtype="float64")
-            return pd.Series(sent.value.votes(_stacked(features, width)).mean(axis=1))
+            return pd.Series(sent.value.votes(stacked(features, width)).mean(axis=1))
 
         return share(self.features)
 
 
-def _stacked(features: pd.Series, width: int) -> np.ndarray:
+def stacked(features: pd.Series, width: int) -> np.ndarray:
     return np.nan_to_num(np.concatenate(features.to_list()).astype(np.float64).reshape(-1, width), nan=np.inf)
 
 
+def grown_trees(samples: DataFrame, width: int, categories: int, tries: int, seed: int, depth: int | None = None) -> DataFrame:
+    """A row per tree of ``tree, id, label, times, features``; each tree's sample is in one task, in the order of its ids."""
+    kinds = {"variable": pa.int32(), "cut": pa.float64(), "low": pa.list_(pa.int32())}
+    kinds |= {"left": pa.int32(), "right": pa.int32(), "vote": pa.int32(), "decrease": pa.float64()}
+
+    def grow_one(table: pa.Table) -> pa.Table:
+        number = table.column("tree")[0].as_py()
+        table = table.sort_by("id")
+        features, labels, times = (table.column(n) for n in ("features", "label", "times"))
+        rng = np.random.default_rng([seed, number])
+        tree = grow(matrix_of(features, width), labels.to_numpy(), times.to_numpy(), categories, tries, rng, depth)
+        return pa.table(
+            {"tree": pa.array([number], pa.int32())} | {k: pa.array([tree[k]], pa.list_(kind)) for k, kind in kinds.items()}
+        )
+
+    return samples.groupBy("tree").applyInArrow(grow_one, TREE_SCHEMA)
+
+
 def fit_bagged(
     df: DataFrame,
     numeric: Sequence[str],
@@ -309,25 +331,8 @@ def fit_bagged(
         F.col(key).alias("id"), F.col(response).cast("int").alias("label"), encoded(numeric, own).alias("features")
     )
 
-    def grow_one(table: pa.Table) -> pa.Table:
-        number = table.column("tree")[0].as_py()
-        # the order in which rows arrive is not fixed: that of their ids is
-        table = table.sort_by("id")
-        tree = grow(
-            _matrix(table.column("features"), width),
-            table.column("label").to_numpy(),
-            table.column("times").to_numpy(),
-            categories,
-            tries,
-            np.random.default_rng([seed, number]),
-        )
-        kinds = {"variable": pa.int32(), "cut": pa.float64(), "low": pa.list_(pa.int32()), "left": pa.int32(), "right": pa.int32(), "vote": pa.int32(), "decrease": pa.float64()}
-        return pa.table(
-            {"tree": pa.array([number], pa.int32())} | {k: pa.array([tree[k]], pa.list_(kind)) for k, kind in kinds.items()}
-        )
-
     samples = draws.join(rows, "id").select("tree", "id", "label", "times", "features")
-    grown = stage(samples.groupBy("tree").applyInArrow(grow_one, TREE_SCHEMA), "trees")
+    grown = stage(grown_trees(samples, width, categories, tries, seed), "trees")
     return BaggedForest(list(numeric), list(categorical), own, grown, draws)
 
 
@@ -346,7 +351,7 @@ def out_of_bag_scores(df: DataFrame, forest: BaggedForest, id_column: str, name:
     def share(features: pd.Series, bags: pd.Series) -> pd.Series:
         if not len(features):
             return pd.Series([], dtype="float64")
-        votes = sent.value.votes(_stacked(features, width)).astype(np.float64)
+        votes = sent.value.votes(stacked(features, width)).astype(np.float64)
         for row, bag in enumerate(bags):
             votes[row, np.asarray(bag, dtype=np.int64)] = np.nan
         known = (~np.isnan(votes)).sum(axis=1)
@@ -401,7 +406,7 @@ def out_of_bag_importance(
     def measure(table: pa.Table) -> pa.Table:
         packed = sent.value
         table = table.sort_by("place")
-        features, labels = _matrix(table.column("features"), width), table.column("label").to_numpy()
+        features, labels = matrix_of(table.column("features"), width), table.column("label").to_numpy()
         number = table.column("slice")[0].as_py()
         unseen = np.ones((len(labels), len(packed.first)), dtype=bool)
         for row, bag in enumerate(table.column("_bags").to_pylist()):

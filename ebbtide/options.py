@@ -77,6 +77,9 @@ class Options:
     boost_iterations: int = 100
     boost_step: float = 0.1
     boost_sample_share: float = 0.5
+    boost_sample_most: int = 50_000  # rows of a round's sample: its tree is grown in a task
+    boost_depth: int = 3
+    boost_cut_every: int = 5  # rounds between two writings of the row weights
 
     # evaluation
     calibration_holdout: bool = False
