@@ -972,13 +972,11 @@ def _(spark, sf_dir):
 @add("forest_gini", None)
 def _(spark, sf_dir):
     done = trained(spark, sf_dir)
-    numeric, categorical = forest.split_kinds(done.model.top, done.prepared.categorical)
-    oof = forest.out_of_fold_scores(
-        done.prepared.train, numeric, categorical, RESPONSE, "account_id", b.OPTIONS.forest_trees[1], b.OPTIONS
-    )
+    kind, unseen, _ = training.unseen_results(done)
+    unseen = unseen.filter(F.col(forest.RAW).isNotNull())
     parts = [
         evaluation.gini(evaluation.ranked_scores(rows, forest.RAW, RESPONSE)).select(F.lit(label).alias("rows"), "gini")
-        for label, rows in (("train_out_of_fold", oof), ("test", done.tested))
+        for label, rows in ((f"train_{kind}", unseen), ("test", done.tested))
     ]
     return parts[0].unionByName(parts[1])
 
