@@ -331,11 +331,12 @@ def _differing(left: DataFrame, right: DataFrame) -> DataFrame:
 
 @add("export_csv_diff", "rows i, differing i", f"select count(*) as rows, 0 as differing from ({_SCORED})")
 def _(spark, sf_dir):
-    """The export, read back, against the rows that were exported."""
+    """The export, read back, against the rows that were exported. In this format the text NA is a missing value."""
     out = stage(scoring.cohort_export(q.scoring_rows(spark, sf_dir), q.trained(spark, sf_dir).model), "export-rows")
     path = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
     sinks.export_csv(out, path)
     schema = ", ".join(f"{name} {kind}" for name, kind in out.dtypes)
+    out = out.select(*[F.nullif(n, F.lit("NA")).alias(n) if kind == "string" else n for n, kind in out.dtypes])
     return _differing(out, readers.read_csv(spark, path, schema, index_column=None))
 
 

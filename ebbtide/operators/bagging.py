@@ -292,8 +292,13 @@ def stacked(features: pd.Series, width: int) -> np.ndarray:
     return np.nan_to_num(np.concatenate(features.to_list()).astype(np.float64).reshape(-1, width), nan=np.inf)
 
 
-def grown_trees(samples: DataFrame, width: int, categories: int, tries: int, seed: int, depth: int | None = None) -> DataFrame:
-    """A row per tree of ``tree, id, label, times, features``; each tree's sample is in one task, in the order of its ids."""
+def grown_trees(
+    samples: DataFrame, width: int, categories: int, tries: int, seed: int, depth: int | None = None, tasks: int = 1
+) -> DataFrame:
+    """A row per tree of ``tree, id, label, times, features``; each tree's sample is in one task, in the order of its ids.
+
+    The trees are dealt over ``tasks`` tasks, however small their samples are.
+    """
     kinds = {"variable": pa.int32(), "cut": pa.float64(), "low": pa.list_(pa.int32())}
     kinds |= {"left": pa.int32(), "right": pa.int32(), "vote": pa.int32(), "decrease": pa.float64()}
 
@@ -307,7 +312,12 @@ def grown_trees(samples: DataFrame, width: int, categories: int, tries: int, see
             {"tree": pa.array([number], pa.int32())} | {k: pa.array([tree[k]], pa.list_(kind)) for k, kind in kinds.items()}
         )
 
-    return samples.groupBy("tree").applyInArrow(grow_one, TREE_SCHEMA)
+    return samples.repartition(tasks, "tree").groupBy("tree").applyInArrow(grow_one, TREE_SCHEMA)
+
+
+def task_count(spark: SparkSession, most: int) -> int:
+    """Tasks for ``most`` pieces of work that are heavy for their size: a few for each core."""
+    return max(1, min(most, 4 * spark.sparkContext.defaultParallelism))
 
 
 def fit_bagged(
@@ -332,7 +342,7 @@ def fit_bagged(
     )
 
     samples = draws.join(rows, "id").select("tree", "id", "label", "times", "features")
-    grown = stage(grown_trees(samples, width, categories, tries, seed), "trees")
+    grown = stage(grown_trees(samples, width, categories, tries, seed, tasks=task_count(df.sparkSession, trees)), "trees")
     return BaggedForest(list(numeric), list(categorical), own, grown, draws)
 
 
@@ -394,8 +404,12 @@ def out_of_bag_importance(
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|slice{seed}")))
     rows = with_bags(df.filter(F.col(response).isNotNull()), forest, key)
     slices = max(1, -(-df.count() // slice_rows))
+    # with few slices their trees are shared out as well, so that all cores have work
+    tasks = task_count(df.sparkSession, slices * len(forest.packed.first))
+    shares = max(1, tasks // slices)
     dealt = rows.select(
         F.pmod(F.xxhash64(digest), F.lit(slices)).cast("int").alias("slice"),
+        F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"),
         digest.alias("place"),
         F.col(response).cast("int").alias("label"),
         "_bags",
@@ -412,7 +426,7 @@ def out_of_bag_importance(
         for row, bag in enumerate(table.column("_bags").to_pylist()):
             unseen[row, bag] = False
         out = []
-        for tree in range(len(packed.first)):
+        for tree in range(table.column("share")[0].as_py(), len(packed.first), shares):
             own = np.flatnonzero(unseen[:, tree])
             if not len(own):
                 continue
@@ -427,7 +441,7 @@ def out_of_bag_importance(
         columns = list(zip(*out)) if out else [(), (), ()]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("tree", "variable", "n"), columns)})
 
-    lost = dealt.groupBy("slice").applyInArrow(measure, "tree long, variable long, n long")
+    lost = dealt.repartition(max(tasks, slices), "slice", "share").groupBy("slice", "share").applyInArrow(measure, "tree long, variable long, n long")
     summed = stage(lost.groupBy("tree", "variable").agg(F.sum("n").alias("n")), "importance")
     sizes = summed.filter("variable < 0").select("tree", F.col("n").alias("size"))
     trees = F.lit(float(forest.trees.count()))
