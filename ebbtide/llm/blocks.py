@@ -4,7 +4,13 @@ A page is read once, from tag to tag, into flat blocks: the texts between block-
 block has numbers only: its words, its link density, the same of the blocks before and after it,
 and marks of the place it stands in, taken from the open elements' names and their class, id and
 role words. The tree is grown (Gini impurity, one threshold at a time) on a small labelled table of
-such numbers, built from ``LABELLED``: short pages whose blocks are marked by hand.
+such numbers: the blocks of the pages that ``labelled_pages`` draws by rule, with the labels that it gives them.
+
+Class words are read as wholes: of ``comment-list`` the last word that isn't a mere box decides, ``has-sidebar`` speaks of
+another element. The page's article is the article or main element with the most words (comments aside); what
+surrounds it says nothing about what is in it, and neither do, on a page without an article, class words of an element that
+holds over two thirds of the page's words. A short block that the tree drops follows its neighbours if both are kept, nothing marks its place, and
+they share an element. Reading takes time in proportion to the page, also with thousands of open elements.
 
 Every page is handled alone in one narrow pass over the whole html; nothing is shuffled.
 """
@@ -43,6 +49,16 @@ PLACES = {
     "form": "form search login",
 }
 PLACE_OF = {word: place for place, words in PLACES.items() for word in words.split()}
+# Words of a compound that name a box and not what is in it, and words before the name of another element.
+BOXES = frozenset(
+    "area list wrap wrapper container box section block inner outer body content item unit slot panel row col column group "
+    "holder thread links link top bottom left right main primary secondary".split()
+)
+ELSEWHERE = frozenset("has with no without is show hide".split())
+# Elements that hold a block's words directly; the one around them is what neighbours share.
+LINES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th figcaption".split())
+BARRIERS = frozenset("ul ol dl table div article section".split())
+IMPLIED = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?"
@@ -66,12 +82,22 @@ def place_words(attributes: str) -> set[str]:
         elif name == "aria-hidden":
             found |= {"hidden"} if value == "true" else set()
         elif name != "hidden":
-            for token in value.split():
-                parts = [token, *WORDS.findall(token)]
-                found |= {PLACE_OF[p] for p in parts if p in PLACE_OF}
+            found |= {place for token in value.split() if (place := place_of(token))}
     return found
 
 
+def place_of(token: str) -> str | None:
+    """The place that one class word, id or role names, read as a whole or by its head."""
+    if token in PLACE_OF:
+        return PLACE_OF[token]
+    words = WORDS.findall(token)
+    if not words or words[0] in ELSEWHERE:
+        return None
+    while len(words) > 1 and (words[-1] in BOXES or words[-1].isdigit()):
+        words.pop()
+    return PLACE_OF.get("-".join(words[-2:]), PLACE_OF.get(words[-1]))
+
+
 FEATURES = (
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
     "in_article", "in_outside", "in_menu", "in_frame", "in_side", "in_notice", "in_advert", "in_comment",
@@ -86,41 +112,43 @@ class Page:
         self.texts: list[str] = []
         self.rows: list[list[float]] = []
         self.labels: list[int | None] = []
+        self.holders: list[int] = []  # the element that a block shares with its neighbours
         self.has_article = False
         self.read(source)
 
     def read(self, source: str) -> None:
-        stack: list[tuple[str, set[str]]] = []  # open elements and the marks that they bring
+        # Elements by number, parents before children; 0 stands for the page.
+        names, marks, parents, words = [""], [set()], [0], [0]
+        stack = [0]  # the open elements
+        opened: dict[str, int] = {}  # how many of a name are open
+        unclosed: set[str] = set()  # names without any end tag from here on
+        blocks: list[tuple[int, int, float]] = []  # element, words, link density
         parts: list[str] = []
         linked = 0  # characters inside links
         at, end = 0, len(source)
-        link_depth = 0
 
         def flush() -> None:
             nonlocal linked
             text = SPACES.sub(" ", "".join(parts)).strip()
             parts.clear()
             if text:
-                marks = set().union(*(m for _, m in stack)) if stack else set()
-                names = {n for n, _ in stack}
-                words = len(text.split())
                 self.texts.append(text)
-                self.labels.append(1 if "keep" in marks else 0)
-                self.rows.append(
-                    [words, min(1.0, linked / len(text)), 0, 0, 0, 0]
-                    + [float("article" in names or "main" in names or "main" in marks), float(bool(names & OUTSIDE and not ({"header"} & names and "article" in names and not names & (OUTSIDE - {"header"}))))]
-                    + [float(p in marks) for p in PLACES]
-                    + [0.0, float(bool(stack and re.fullmatch("h[1-6]", stack[-1][0])))]
-                )
+                blocks.append((stack[-1], len(text.split()), min(1.0, linked / len(text))))
+                words[stack[-1]] += blocks[-1][1]
             linked = 0
 
+        def close(depth: int) -> None:
+            for element in stack[depth:]:
+                opened[names[element]] -= 1
+            del stack[depth:]
+
         while at < end:
             m = TOKEN.search(source, at)
             stop = m.start() if m else end
             if stop > at:
                 piece = html_lib.unescape(source[at:stop])
                 parts.append(piece)
-                if link_depth:
+                if opened.get("a"):
                     linked += len(SPACES.sub(" ", piece))
             if not m:
                 break
@@ -131,47 +159,117 @@ class Page:
             if name in BLOCKS or name == "br":
                 parts.append(" ") if name == "br" else flush()
             if m[1]:  # an end tag closes up to its start tag, if there is one
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-                if depth is not None and not (name not in BLOCKS and any(n in BLOCKS for n, _ in stack[depth + 1 :])):
-                    link_depth -= sum(n == "a" for n, _ in stack[depth:])
-                    del stack[depth:]
+                if opened.get(name):
+                    for depth in range(len(stack) - 1, 0, -1):
+                        if names[stack[depth]] == name:
+                            close(depth)
+                            break
+                        if name not in BLOCKS and names[stack[depth]] in BLOCKS:
+                            break
                 continue
             if name in SILENT and name not in ("head", "select"):  # everything up to the end tag is no text
-                closing = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(source, at)
+                closing = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(source, at)
+                if not closing:
+                    unclosed.add(name)
                 if not m[0].rstrip(">").endswith("/") or name in RAW:
                     at = closing.end() if closing else (end if name in RAW else at)
                 continue
             if name in VOID or m[0].endswith("/>"):
                 continue
-            if name in ("p", "li", "option", "dd", "dt", "td", "th", "tr") or name in BLOCKS:
-                implied = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}.get(name, ())
-                for closes in (("p",), implied):
-                    depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in closes), None)
-                    if depth is not None and not any(n in ("ul", "ol", "dl", "table", "div", "article", "section") for n, _ in stack[depth + 1 :]):
-                        link_depth -= sum(n == "a" for n, _ in stack[depth:])
-                        del stack[depth:]
-            marks = place_words(m[3]) if m[3] else set()
+            for closes in (("p",), IMPLIED.get(name, ())) if name in BLOCKS else ():
+                if any(opened.get(c) for c in closes):
+                    for depth in range(len(stack) - 1, 0, -1):
+                        if names[stack[depth]] in closes:
+                            close(depth)
+                            break
+                        if names[stack[depth]] in BARRIERS:
+                            break
+            own = place_words(m[3]) if m[3] else set()
             if m[3] and re.search(r"(?:^|\s)hidden(?:\s|=|$)", m[3]):
-                marks.add("hidden")
+                own.add("hidden")
             if m[3] and "data-keep" in m[3]:
-                marks.add("keep")
+                own.add("keep")
             if m[3] and re.search(r"""role\s*=\s*["']?main""", m[3]):
-                marks.add("main")
+                own.add("main")
             if name in ("html", "body"):
-                marks = set()
-            if "hidden" in marks:
+                own = set()
+            if "hidden" in own:
                 at = self.skip(source, name, at)
                 continue
-            if name in ("article", "main") or "main" in marks:
-                self.has_article = True
-            stack.append((name, marks))
-            link_depth += name == "a"
+            parents.append(stack[-1])
+            stack.append(len(names))
+            names.append(name)
+            marks.append(own)
+            words.append(0)
+            opened[name] = opened.get(name, 0) + 1
         flush()
+        self.place(names, marks, parents, words, blocks)
+
+    def place(self, names: list, marks: list, parents: list, words: list, blocks: list) -> None:
+        """What the elements around each block say of it."""
+        for element in range(len(names) - 1, 0, -1):  # words of an element and of all in it
+            words[parents[element]] += words[element]
+        commented = [False] * len(names)
+        for element in range(1, len(names)):
+            commented[element] = commented[parents[element]] or "comment" in marks[element]
+        articles = [e for e in range(1, len(names)) if names[e] in ("article", "main") or "main" in marks[e]]
+        candidates = [e for e in articles if not commented[e]] or articles
+        principal = max(candidates, key=lambda e: (words[e], -e), default=0)
+        self.has_article = bool(articles)
+        # For every element: marks of places, names of outer places, and whether an article is around.
+        found: list[tuple[frozenset, frozenset, bool]] = [(frozenset(), frozenset(), False)]
+        for element in range(1, len(names)):
+            around, outer, article = found[parents[element]]
+            own, name = marks[element], names[element]
+            if element == principal:
+                around, outer = frozenset(), frozenset()
+                own = own & {"keep", "main"}
+            elif not principal and 3 * words[element] > 2 * words[0] and "comment" not in own:
+                own, name = own & {"keep", "main"}, "" if name == "form" else name
+            if article and (name == "header" or "frame" in own) and own <= {"frame", "keep"} and name != "footer":
+                own, name = own - {"frame"}, ""  # the head of an article belongs to it
+            article = article or element in (principal,) or names[element] in ("article", "main") or "main" in own
+            found.append((around | own if own else around, outer | {name} if name in OUTSIDE else outer, article))
+        shared = [0] * len(names)
+        for element in range(1, len(names)):
+            inline = names[element] in LINES or names[element] not in BLOCKS
+            shared[element] = shared[parents[element]] if inline else element
+        for element, n_words, density in blocks:
+            around, outer, article = found[element]
+            self.labels.append(1 if "keep" in around else 0)
+            self.holders.append(shared[element])
+            self.rows.append(
+                [n_words, density, 0, 0, 0, 0]
+                + [float(article), float(bool(outer))]
+                + [float(p in around) for p in PLACES]
+                + [float(self.has_article), float(bool(re.fullmatch("h[1-6]", names[element])))]
+            )
         self.numbers = np.array(self.rows, dtype=float).reshape(-1, len(FEATURES))
         if len(self.rows):
             self.numbers[1:, 2:4] = self.numbers[:-1, 0:2]
             self.numbers[:-1, 4:6] = self.numbers[1:, 0:2]
-            self.numbers[:, FEATURES.index("page_has_article")] = self.has_article
+
+    def kept(self, tree: "Tree") -> np.ndarray:
+        """Which blocks are main text: what the tree says, and blocks without a mark between kept ones of the same element.
+
+        In an article a kept one on either side is enough.
+        """
+        said = tree.predict(self.numbers) >= 0.5
+        free = (self.numbers[:, FEATURES.index("in_outside") : FEATURES.index("page_has_article")].sum(axis=1) == 0) & (
+            self.numbers[:, 1] < 0.5
+        )
+        at = 0
+        while at < len(said):
+            if said[at] or not free[at]:
+                at += 1
+                continue
+            stop = at
+            while stop < len(said) and not said[stop] and free[stop] and self.holders[stop] == self.holders[at]:
+                stop += 1
+            beside = [k for k in (at - 1, stop) if 0 <= k < len(said) and self.holders[k] == self.holders[at] and said[k]]
+            said[at:stop] = len(beside) == 2 or bool(beside) and self.numbers[at, FEATURES.index("in_article")] > 0
+            at = stop
+        return said
 
     @staticmethod
     def skip(source: str, name: str, at: int) -> int:
@@ -306,15 +404,16 @@ def main_text(source: str | None) -> str:
     page = Page(source)
     if not page.texts:
         return ""
-    kept = classifier().predict(page.numbers) >= 0.5
+    kept = page.kept(classifier())
     return "\n".join(t for t, k in zip(page.texts, kept) if k)
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``__row`` (the columns of ``pages``) and ``main``, the main text of the whole html.
 
-    NULL, empty and text-free pages give ''. Unclosed and cut markup is read as far as it goes.
-    Rows are handled alone: repeated rows give repeated results, an empty table none.
+    NULL, empty and text-free pages give ''. Unclosed and cut markup is read as far as it goes; a very long page is
+    read whole, in time proportional to its length. Rows are handled alone: repeated rows give repeated results, an
+    empty table none. Columns of ``pages`` may have any names, those of the result included.
     """
     rows = pack(pages).selectExpr("__row", f"__row.`{html_col}` as __html")
 

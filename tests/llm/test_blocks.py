@@ -14,6 +14,52 @@ def test_article_without_its_surroundings():
     assert blocks.main_text(page) == "Title & more\nOne two three\n<four> five\nSeen"
 
 
+def test_nothing_around_an_article_takes_it_away():
+    inner = f"<h1>Title</h1><p>{P}</p><p>He said no.</p><p>{P} {P}</p>"
+    want = f"Title\n{P}\nHe said no.\n{P} {P}"
+    side = f'<div class="sidebar"><p>{P}</p></div><nav><ul><li><a href=a>Home</a></li></ul></nav>'
+    for page in (
+        f'<div class="layout has-sidebar"><article>{inner}</article></div>{side}',
+        f'<div id="content-sidebar-wrap"><article>{inner}</article>{side}</div>',
+        f'<article class="post category-social tag-alert">{inner}</article>{side}',
+        f'<article class="post comments-open">{inner}</article>{side}',
+        f'<form id="aspnetForm" action="/"><article>{inner}</article>{side}</form>',
+        f'<div class="related"><main><div class="post-header"><h1>Title</h1></div>{inner[14:]}</main></div>{side}',
+        f'<article><div class="post-header"><h1>Title</h1></div>{inner[14:]}</article>{side}',
+        f'<article>{inner}</article><section id="comments"><ol class="comment-list"><li class="comment"><article class="comment-body"><p>{(P + " ") * 30}</p></article></li></ol></section>',
+        f'<form id="aspnetForm" action="/"><div id="page">{inner}</div>{side}</form>',
+        f'<div id="content-sidebar-wrap"><div class="content">{inner}</div>{side}</div>',
+    ):
+        assert blocks.main_text(f"<html><body class='sidebar-left'>{page}</body></html>") == want, page
+
+
+def test_short_blocks_follow_their_neighbours():
+    page = f'<div><p>{P} {P}</p><p>He said no.</p><p>Why?</p><p>{P} {P}</p><p><a href="/">More</a></p></div><div class="ad"><p>Buy.</p></div>'
+    assert blocks.main_text(page) == f"{P} {P}\nHe said no.\nWhy?\n{P} {P}"
+
+
+def test_class_words():
+    for token, place in (
+        ("comment-list", "comment"), ("comments-area", "comment"), ("comments-open", None), ("has-sidebar", None), ("sidebar", "side"),
+        ("site-footer", "frame"), ("banner-ad", "advert"), ("ad-slot", "advert"), ("shadow", None), ("cookie-banner", "frame"), ("", None),
+        ("widget-2", "side"), ("headerless", None), ("category-news", None), ("-", None),
+    ):
+        assert blocks.place_of(token) == place, token
+
+
+def test_time_grows_with_the_page():
+    import time
+
+    def seconds(page):
+        start = time.perf_counter()
+        blocks.Page(page)
+        return time.perf_counter() - start
+
+    for piece in ('<div class="a"><p>x', "<object>x", "<b><p>x", "<span>x</i>"):
+        blocks.Page(piece * 10)
+        assert seconds(piece * 20_000) < 12 * max(seconds(piece * 4_000), 0.01)
+
+
 def test_page_without_article():
     page = f'<div id="menu"><a href=x>Home</a> <a href=y>About</a></div><div><h1>A title of the page</h1><p>{P}</p><p>{P} {P}</p></div><div id=footer>me</div>'
     assert blocks.main_text(page) == f"A title of the page\n{P}\n{P} {P}"
