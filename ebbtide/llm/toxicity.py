@@ -43,7 +43,7 @@ WORD = re.compile(r"[^\W_]+[\W_]*|[\W_]+")
 class Network:
     """Settings of the network and of the sample that it is fitted on."""
 
-    window: int = 32
+    window: int = 14
     stride: int = 1
     hidden: int = 6
     vector: int = 4
@@ -326,6 +326,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.ids: dict[str, int] = {}
+        self.scored: dict[bytes, float] = {}  # outputs by digest of the text
         self.gates = np.zeros((0, 2, 3 * model.net.hidden), dtype=np.float32)
 
     def learn(self, tokens: set[str]) -> None:
@@ -337,6 +338,17 @@ class Scorer:
             self.ids.update(zip(new, range(len(self.ids), len(self.ids) + len(new))))
             self.gates = np.concatenate([self.gates, self.model.gates(new).astype(np.float32)])
 
+    def known_logits(self, texts: list[str | None]) -> np.ndarray:
+        """The same as ``logits``; equal texts are read once, also those of earlier batches."""
+        keys = [hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts]
+        new = {key: k for k, key in enumerate(keys) if key not in self.scored}
+        found = dict(zip(new, self.logits([texts[k] for k in new.values()]).tolist()))
+        out = np.array([found[key] if key in found else self.scored[key] for key in keys], dtype=float)
+        if len(self.scored) > KEPT:
+            self.scored.clear()
+        self.scored.update(found)
+        return out
+
     def logits(self, texts: list[str | None]) -> np.ndarray:
         """The largest window output of each text; minus infinity without words."""
         net = self.model.net
@@ -573,7 +585,10 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, net: Network = Network(), text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on a bounded sample of the labelled rows that aren't held out, drawn by hash of the text."""
+    """Fit on a bounded sample of the labelled rows that aren't held out, drawn by hash of the text.
+
+    Labels that are NULL or neither 0 nor 1 are left out, NULL ids and texts as well.
+    """
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     rows = docs.select("doc_id", F.col(text_col).alias("text")).filter(F.char_length("text") <= net.max_chars)
     rows = rows.withColumn("turn", F.xxhash64("text", F.lit(net.seed)))
@@ -594,8 +609,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, net: Network = Network(), text_co
 def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``__row`` (the columns of ``docs``) and ``score``, from 0 to 1, of every whole text.
 
-    NULL texts and texts without words score 0. Rows are handled alone: equal texts get equal scores,
-    an empty table gives none.
+    NULL texts and texts without words score 0. Very long texts are read whole, all their windows. Rows are handled
+    alone: equal texts get equal scores, an empty table gives none. Columns may have any names.
     """
     rows = pack(docs).selectExpr("__row", f"__row.`{text_col}` as __text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -603,7 +618,7 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     def run(batches):
         scorer = Scorer(shared.value)
         for batch, texts in byte_slices(batches, "__text", 2 << 20):
-            logits = scorer.logits(texts)
+            logits = scorer.known_logits(texts)
             scores = np.where(np.isfinite(logits), shared.value.probability(np.nan_to_num(logits, neginf=0.0)), 0.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("__row")), pa.array(scores.astype(float))], names=["__row", "score"]

@@ -184,3 +184,41 @@ def test_outputs_by_feature(model, stride):
         out, _ = toxicity.forward(np.moveaxis(scorer.gates[at], 2, 0), mask, own.weights)
         assert value == pytest.approx(out.max(), abs=1e-4)
     assert (got[-2:] == -np.inf).all()
+
+
+def plain_score(model, text):
+    """Every window of a text, word by word: both recurrences, the attention, the output, the scale."""
+    net, w, words = model.net, model.weights, toxicity.text_tokens(text)
+    if not words:
+        return 0.0
+    gates, h = model.gates(words), net.hidden
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+    best = -np.inf
+    for first in range(max(1, len(words) - net.window + 1)):
+        places = list(range(first, min(first + net.window, len(words))))
+        states = {}
+        for d, order in ((0, places), (1, places[::-1])):
+            state = np.zeros(h)
+            for k in order:
+                own = state @ w["h"][d]
+                z, r = logistic(gates[k, d, :h] + own[:h]), logistic(gates[k, d, h : 2 * h] + own[h : 2 * h])
+                state = (1 - z) * np.tanh(gates[k, d, 2 * h :] + r * own[2 * h :]) + z * state
+                states.setdefault(k, []).append(state)
+        both = [np.concatenate(states[k]) for k in places]
+        level = np.array([np.tanh(s @ w["a"] + w["a_b"]) @ w["a_v"] for s in both])
+        share = np.exp(level - level.max())
+        best = max(best, sum(a * s for a, s in zip(share / share.sum(), both)) @ w["o"] + w["o_b"][0])
+    return float(logistic(model.scale[0] * best + model.scale[1]))
+
+
+def test_scores_equal_a_plain_scorer(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(50)}" + rng.choice(["", ".", "!"]) for _ in range(rng.randrange(1, 70))) for _ in range(40)]
+    bad = [t + " vile awful scum " + t for t in texts[:15]]
+    model = toxicity.fit(texts + bad, [0] * 40 + [1] * 15, toxicity.Network(epochs=2, least_steps=60))
+    rows = [(k, t, "s") for k, t in enumerate(texts[:12] + bad[:6] + ["", "one", "\u65e5\u672c\u8a9e\u306e\u6587", texts[3], texts[3]])] + [(99, None, "s")]
+    got = toxicity.score_documents(frame(spark, rows, CLASHING).repartition(3), model).collect()
+    assert len(got) == len(rows)
+    text_of = {i: t for i, t, _ in rows}
+    for row in got:
+        assert row["score"] == pytest.approx(plain_score(model, text_of[row["__row"]["doc_id"]]), abs=2e-5)
