@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ebbtide.operators import bagging, boosting, calibration, forest
-from ebbtide.operators import evaluation
+from ebbtide.operators import bagging, boosting, calibration, evaluation, forest, levels, ranking
 from ebbtide.plans import scoring, training
 from ebbtide.session import shared_folder, stage
 from ebbtide.sources import project, readers, sinks
@@ -290,6 +289,69 @@ def _(spark, sf_dir):
     return prepared(spark, sf_dir).iv
 
 
+@add(
+    "medians_big",
+    "variable s, median s",
+    q._union(
+        f"""select '{c}' as variable, cast(cast(min(x) + max(x) as decimal(36, 0)) * cast(0.5 as decimal(2, 1)) as varchar) as median
+        from (select cast({c} as decimal(36, 0)) as x, row_number() over (order by {c}) as place, count(*) over () as n from ({q._BIG}))
+        where place in ((n + 1) // 2, n // 2 + 1)"""
+        for c in ("big", "wide")
+    ),
+)
+def _(spark, sf_dir):
+    """Medians of whole numbers and decimals that a double can't tell apart."""
+    rows = b.table(spark, sf_dir, "lineitem").selectExpr(
+        "9007199254740992 + l_orderkey as big",
+        "cast(cast(l_orderkey as decimal(17, 0)) * 100000000000000000000 + l_linenumber as decimal(38, 0)) as wide",
+    )
+    return ranking.exact_medians(rows, ["big", "wide"])
+
+
+_SCORED_CATEGORIES = [c for c in _CATEGORIES if c != "md_sc_f"]
+
+
+@add(
+    "scoring_losses",
+    "variable s, rows i",
+    q._union(
+        [
+            f"select '{c}' as variable, count(*) as rows from scoring_frame s "
+            f"where not exists (select 1 from {q._SEEN_CTE} r where r.{c} is not distinct from s.{c})"
+            for c in _SCORED_CATEGORIES
+        ]
+        + [
+            "select null, count(*) from scoring_frame s where not ("
+            + " and ".join(
+                f"exists (select 1 from {q._SEEN_CTE} r where r.{c} is not distinct from s.{c})" for c in _SCORED_CATEGORIES
+            )
+            + ")"
+        ]
+    ),
+)
+def _(spark, sf_dir):
+    """Accounts to be scored that drop out for a value unseen in training, counted while the others pass."""
+    train = q.train_rows(spark, sf_dir).filter("country <> 'ASIA'")
+    known = levels.learn_levels(train, _SCORED_CATEGORIES, OPTIONS.max_levels)
+    losses = Observation()
+    kept = levels.keep_known(q.scoring_rows(spark, sf_dir), known, losses)
+    kept.write.format("noop").mode("overwrite").save()
+    return levels.loss_report(losses, spark)
+
+
+@add(
+    "messages_csv",
+    "doc_id i, source s, digest s",
+    "select doc_id, source, md5(text) as digest from documents",
+)
+def _(spark, sf_dir):
+    """All documents, written with their line breaks and read back in pieces."""
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    b.table(spark, sf_dir, "documents").select("doc_id", "source", "text").write.csv(path, header=True, nullValue="NA", escape='"')
+    back = readers.read_quoted_csv(spark, path, "doc_id long, source string, text string", None)
+    return back.select("doc_id", "source", F.md5("text").alias("digest"))
+
+
 # --- scores on their way ----------------------------------------------------------------------------
 
 _SCORED = f"with {_PREPARED} select s.* from scoring_frame s where {_known_sql('s', True)}"

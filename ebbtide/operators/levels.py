@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .ranking import level_counts
@@ -51,17 +52,43 @@ def learn_levels(
     return {name: sorted(values, key=lambda v: (v is None, v or "")) for name, values in found.items()}
 
 
-def keep_known(df: DataFrame, levels: Mapping[str, Sequence[str | None]]) -> DataFrame:
-    """The same rule with learnt levels: a plain filter, no join."""
-    kept = df
+def known_conditions(levels: Mapping[str, Sequence[str | None]]) -> dict[str, Column]:
+    """For each category whether a row's value is one of the learnt levels; NULL is a level like any other."""
+    conditions = {}
     for name, values in levels.items():
         texts = [value for value in values if value is not None]
         known = F.col(name).isin(*texts) if texts else F.lit(False)
-        if None in values:
-            kept = kept.filter(F.col(name).isNull() | known)
-        else:
-            kept = kept.filter(F.col(name).isNotNull() & known)
-    return kept
+        conditions[name] = F.col(name).isNull() | known if None in values else F.col(name).isNotNull() & known
+    return conditions
+
+
+def keep_known(
+    df: DataFrame, levels: Mapping[str, Sequence[str | None]], observation: Observation | None = None
+) -> DataFrame:
+    """The same rule with learnt levels: a plain filter, no join.
+
+    With an ``observation`` the rows that come in, those lost, and those with an unseen value of each category are
+    counted on the way (metrics ``rows``, ``lost`` and ``unseen:<category>``), without a pass of its own: the numbers
+    are there once the result has been computed.
+    """
+    conditions = known_conditions(levels)
+    if not conditions:
+        return df if observation is None else df.observe(observation, F.count(F.lit(1)).alias("rows"), F.lit(0).cast("long").alias("lost"))
+    kept = functools.reduce(lambda x, y: x & y, conditions.values())
+    if observation is not None:
+        metrics = [F.count_if(~known).alias(f"unseen:{name}") for name, known in conditions.items()]
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"), F.count_if(~kept).alias("lost"), *metrics)
+    return df.filter(kept)
+
+
+def loss_report(observation: Observation, spark: SparkSession) -> DataFrame:
+    """``variable, rows``: rows with an unseen value by category, and under NULL the rows lost in all.
+
+    To be called after the observed frame has been computed, or it waits for that.
+    """
+    found = observation.get
+    rows = [(name.removeprefix("unseen:"), n) for name, n in found.items() if name.startswith("unseen:")]
+    return spark.createDataFrame([*rows, (None, found["lost"])], "variable string, rows long")
 
 
 def constant_by_cohort(df: DataFrame, cohort: str, variables: Sequence[str]) -> DataFrame:

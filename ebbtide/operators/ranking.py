@@ -9,6 +9,7 @@ once; compute one and use it for several measures.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -115,6 +116,25 @@ def medians(ranked: DataFrame) -> DataFrame:
     return order_statistics(ranked).select("variable", "median")
 
 
+def exact_medians(df: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """``variable, median decimal(38,1)`` of whole-number and decimal columns, without passing through doubles.
+
+    A double tells whole numbers apart up to 2**53 only; here values are counted as decimals of 38 digits, so columns
+    with digits after the point are refused, and so are other types.
+    """
+    types = dict(df.dtypes)
+    for name in variables:
+        if types[name] not in ("tinyint", "smallint", "int", "bigint") and not re.fullmatch(r"decimal\(\d+,0\)", types[name]):
+            raise ValueError(f"{name} is {types[name]}, not a whole number")
+    counts = _counted(df, [F.col(name).cast("decimal(38,0)") for name in variables], variables, None)
+    ranked = ranked_values(counts)
+    low, high = (F.floor((F.col("n_total") - k) / 2).cast("long") for k in (1, 0))
+    middle = ranked.groupBy("variable").agg(_value_at(low).alias("low"), _value_at(high).alias("high"))
+    half = F.when((F.col("high") - F.col("low")) % 2 != 0, F.lit("0.5").cast("decimal(2,1)")).otherwise(F.lit("0.0").cast("decimal(2,1)"))
+    whole = (F.col("low") + F.floor((F.col("high") - F.col("low")) / 2)).cast("decimal(37,0)")
+    return middle.select("variable", (whole + half).cast("decimal(38,1)").alias("median"))
+
+
 def _value_at(position):
     """The value whose rows cover a zero-based position."""
     covers = (F.col("n_before") <= position) & (position < F.col("n_before") + F.col("n"))

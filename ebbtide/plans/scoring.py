@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
@@ -20,12 +20,15 @@ from .training import CALIBRATED
 CARRIED = "_carried"
 
 
-def score_accounts(frame: DataFrame, model: PropensityModel, carried: Sequence[str] = ()) -> DataFrame:
+def score_accounts(
+    frame: DataFrame, model: PropensityModel, carried: Sequence[str] = (), losses: Observation | None = None
+) -> DataFrame:
     """``account_id`` with the scope variables, the raw and the calibrated score.
 
     One narrow plan: impute with the training medians, keep rows whose categories were seen in
     training, score, calibrate. Nothing is shuffled and no row reaches the driver. Columns that are
-    ``carried`` come along as they were before cleaning, in the struct ``_carried``.
+    ``carried`` come along as they were before cleaning, in the struct ``_carried``. ``losses`` counts accounts that are
+    left out for a value that training has not seen (see ``levels.loss_report``) while the scores are computed.
     """
     options = model.options
     require(frame, options.id_column, *model.numeric, *model.categorical)
@@ -33,22 +36,28 @@ def score_accounts(frame: DataFrame, model: PropensityModel, carried: Sequence[s
         frame = frame.withColumn(CARRIED, F.struct(*carried))
     kept = [options.id_column, *([CARRIED] if carried else [])]
     cleaned = cleaning.apply_cleaning(frame, kept, model.numeric, model.categorical, model.medians, options)
-    in_scope = levels.keep_known(cleaned, model.levels)
+    in_scope = levels.keep_known(cleaned, model.levels, losses)
     wanted = in_scope.select(*kept, *dict.fromkeys([*model.scope, *model.top]))
     scored = forest.add_scores(wanted, model.forest)
     return scored.withColumn(CALIBRATED, model.calibration.column(forest.RAW))
 
 
-def score_output(frame: DataFrame, model: PropensityModel, efft_d: dt.date | None = None) -> DataFrame:
+def score_output(
+    frame: DataFrame, model: PropensityModel, efft_d: dt.date | None = None, losses: Observation | None = None
+) -> DataFrame:
     """Rows of the score table, scored where they are read; the effective date defaults to today."""
     day = as_date(efft_d) if efft_d is not None else F.current_date()
-    return score_accounts(frame, model, ["first_usage_units"]).select(
+    return score_accounts(frame, model, ["first_usage_units"], losses).select(
         "account_id", f"{CARRIED}.first_usage_units", F.col(CALIBRATED).alias("churn_90d_score"), day.alias("efft_d")
     )
 
 
 def score_cohort(
-    inputs: Inputs, model: PropensityModel, efft_d: dt.date | None = None, anchor: dt.date | None = None
+    inputs: Inputs,
+    model: PropensityModel,
+    efft_d: dt.date | None = None,
+    anchor: dt.date | None = None,
+    losses: Observation | None = None,
 ) -> DataFrame:
     """The daily job: rows of the score table for the current scoring cohort.
 
@@ -56,7 +65,7 @@ def score_cohort(
     """
     frame = stage(scoring_frame(inputs, model.options, anchor), "scoring")
     require_rows(frame, "the scoring cohort")
-    return score_output(frame, model, efft_d)
+    return score_output(frame, model, efft_d, losses)
 
 
 def cohort_export(frame: DataFrame, model: PropensityModel) -> DataFrame:
