@@ -1,9 +1,9 @@
 """Adaptive boosting with shrinkage and bagging: row weights live in a column and follow the rounds.
 
 A round draws a share of the rows by digest, grows a small weighted tree on them, measures the tree's weighted error on
-all rows, and multiplies the weights of wrong rows up and of right ones down. With weights that add up to 1 the
-new total follows from the error alone, so a round passes over the rows once for its sample and once for its
-error. Weights are an expression of the last written ones and the trees since; every few rounds
+all rows (its vote is an expression, so no row leaves the JVM for that), and multiplies the weights of wrong rows
+up and of right ones down. With weights that add up to 1 the new total follows from the error alone, so a round
+passes over the rows once for its sample and once for its error. Weights are an expression of the last written ones and the trees since; every few rounds
 they are written, so the plan stays short and a lost executor repeats few rounds.
 """
 
@@ -85,17 +85,15 @@ class Boosted:
         return share(encoded(self.numeric, self.levels))
 
 
-def _vote(spark, tree: dict, width: int) -> Column:
-    """The vote of one tree over the column ``features``."""
-    sent = spark.sparkContext.broadcast(Packed([tree], width))
-
-    @F.pandas_udf("int")
-    def vote(features: pd.Series) -> pd.Series:
-        if not len(features):
-            return pd.Series([], dtype="int32")
-        return pd.Series(sent.value.votes(stacked(features, width))[:, 0].astype("int32"))
-
-    return vote("features")
+def vote(tree: dict, node: int = 0) -> Column:
+    """The vote of one small tree as an expression over the array ``features``; what is missing goes right."""
+    variable = tree["variable"][node]
+    if variable < 0:
+        return F.lit(tree["vote"][node])
+    value = F.get("features", F.lit(variable))
+    low = tree["low"][node]
+    goes = value.isin(*[float(code) for code in low]) if low else value <= F.lit(tree["cut"][node])
+    return F.when(goes, vote(tree, tree["left"][node])).otherwise(vote(tree, tree["right"][node]))
 
 
 def fit_adaboost(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], response: str, options: Options) -> Boosted:
@@ -105,7 +103,7 @@ def fit_adaboost(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     round's sample. Rounds end early at a tree without error, which is kept, and at one that is wrong on half the weight
     or more, which is not.
     """
-    spark, seed, key = df.sparkSession, options.learner_seed, options.id_column
+    seed, key = options.learner_seed, options.id_column
     goods, bads = class_sizes(df, response)
     if not goods or not bads:
         raise ValueError("training rows need both response classes")
@@ -126,11 +124,12 @@ def fit_adaboost(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
         sample = rows.filter(sampled("id", share, number, seed)).select(
             F.lit(number).alias("tree"), "id", "label", F.col("weight").alias("times"), "features"
         )
-        tree = grown_trees(sample, width, len(categorical), width, seed, options.boost_depth).first()
-        if tree is None:
+        # one row; a limit would end the worker process, and the next round would start another
+        grown = grown_trees(sample, width, len(categorical), width, seed, options.boost_depth).collect()
+        if not grown:
             continue  # an empty sample
-        tree = tree.asDict()
-        wrong = _vote(spark, tree, width) != F.col("label")
+        tree = grown[0].asDict()
+        wrong = vote(tree) != F.col("label")
         marked = rows.withColumn("wrong", wrong)
         error = weighted_error(marked, F.col("wrong"))
         if error >= 0.5:
