@@ -2,33 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
 
+#: A key that more than 1 / HEAVY_SHARE of the rows hold, and more than HEAVY_LEAST of them, is heavy.
+#: So there are fewer than HEAVY_SHARE heavy keys at any size, and their table can be broadcast.
+HEAVY_SHARE = 10_000
+HEAVY_LEAST = 1_000
+
+
+def heavy_keys(rows: DataFrame, key: str) -> DataFrame:
+    """(heavy): the keys of heavy weight, fewer than ``HEAVY_SHARE``. Counted per task before the shuffle."""
+    limit = max(HEAVY_LEAST, rows.count() // HEAVY_SHARE)
+    return rows.groupBy(F.col(key).alias("heavy")).count().filter(F.col("count") > limit).select("heavy")
+
+
+def with_label_of(rows: DataFrame, key: str, spare: str, heavy: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``name``, the label in ``labels`` (node, label) of the node in ``key``.
+
+    Labels of ``heavy`` keys are broadcast. Their rows look up the node in ``spare``, which must be
+    one of ``labels``, in the join by hash, so they spread over all tasks and that answer is not used.
+    """
+    few = heavy.join(labels, F.col("heavy") == F.col("node")).select("heavy", F.col("label").alias("heavy_label"))
+    marked = rows.join(F.broadcast(few), F.col(key) == F.col("heavy"), "left")
+    marked = marked.withColumn("sought", F.when(F.col("heavy").isNull(), F.col(key)).otherwise(F.col(spare)))
+    found = marked.join(labels.selectExpr("node as at", "label as own_label"), F.col("sought") == F.col("at"))
+    own: Column = F.coalesce("heavy_label", "own_label")
+    return found.select(*rows.columns, own.alias(name))
+
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): for each node of ``edges`` (a, b) the smallest node that it can reach.
 
     Rounds of two steps until nothing changes: every node takes the smallest label among its own and
     its neighbours', then the label of its label. Labels fall along a path of length n in about
-    log n rounds. Each round is written, so a lost executor costs one round at most. A hub's
-    neighbours are combined per task before they are shuffled.
+    log n rounds. Each step is written, so a lost executor costs one step at most. A hub's
+    neighbours are combined per task before they are shuffled, and neither the rows that ask for a
+    hub's label nor the members of a large group, which ask for the label of one node, meet in one
+    task: see ``with_label_of``. No edges give no rows.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stage(both.filter("a <> b").distinct(), f"{name}-edges")
+    hubs = stage(heavy_keys(both, "b"), f"{name}-hubs")
     labels = stage(both.groupBy("a").agg(F.min("b").alias("n")).selectExpr("a as node", "least(a, n) as label"), name)
     while True:
-        heard = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("heard"))
+        heard = with_label_of(both, "b", "a", hubs, labels, "label").groupBy("a").agg(F.min("label").alias("heard"))
         lower = labels.join(heard, F.col("node") == F.col("a")).selectExpr(
             "node", "label as old", "least(label, heard) as label"
         )
-        above = lower.selectExpr("node as up", "label as up_label")
-        jumped = lower.join(above, F.col("label") == F.col("up"), "left").selectExpr(
-            "node", "old", "least(label, coalesce(up_label, label)) as label"
-        )
-        jumped = stage(jumped, name)
+        lower = stage(lower, f"{name}-lower")
+        jumped = with_label_of(lower, "label", "node", heavy_keys(lower, "label"), lower, "jump")
+        jumped = stage(jumped.selectExpr("node", "old", "least(label, jump) as label"), name)
         labels = jumped.select("node", "label")
         if jumped.filter("label <> old").isEmpty():
             return labels.select("node", F.col("label").alias("component"))

@@ -9,9 +9,15 @@ line without a word is never counted, removed or dropped. Lines are compared by
 normalised line. Only hashes are shuffled, never texts: the counts need (host, line, document)
 triples, combined per task first, and a hot host or line is spread by the document's hash.
 
-The lines over a limit are few by construction: a document has on average m lines, so at most
-m / share lines of a host reach the share. They are written, counted, and joined as one array per
-host: broadcast while they are at most ``BROADCAST_LINES``, else joined by host and salt.
+The two rules have limits of their own. Line dedup (7) drops what stands in a share of the site's
+pages, so its limit grows with the site. The quality rules (4) ask how often a line is written at
+all: their limit grows with the square root of the host's documents, as a large host has far more
+room for a line that says nothing and is still a small share of its pages.
+
+The lines over a limit are few by construction: where a document of a host of h documents has on
+average m lines, at most m / ratio lines reach the ratio, and m * sqrt(h) / scale the root. They are
+written, counted, and joined as one array per host: broadcast while they are at most
+``BROADCAST_LINES``, else joined by host and salt.
 """
 
 from __future__ import annotations
@@ -73,12 +79,13 @@ def line_counts(docs: DataFrame, text_col: str = "text", host_col: str = "source
 
 
 def frequent_lines(
-    docs: DataFrame, share: float, least: int, text_col: str = "text", host_col: str = "source"
+    docs: DataFrame, limit: Column, least: int, text_col: str = "text", host_col: str = "source"
 ) -> DataFrame:
-    """(host, line, n_docs, host_docs) of lines in more than ``least`` documents and more than ``share`` of the host's."""
-    return line_counts(docs, text_col, host_col).filter(
-        (F.col("n_docs") > least) & (F.col("n_docs") > F.lit(share) * F.col("host_docs"))
-    )
+    """(host, line, n_docs, host_docs) of lines in more than ``least`` documents and more than ``limit``.
+
+    ``limit`` is an expression of ``host_docs``.
+    """
+    return line_counts(docs, text_col, host_col).filter((F.col("n_docs") > least) & (F.col("n_docs") > limit))
 
 
 def marked_lines(docs: DataFrame, frequent: DataFrame, text_col: str, host_col: str) -> DataFrame:
@@ -115,7 +122,7 @@ def kept_text() -> Column:
 
 def site_line_dedup(
     docs: DataFrame,
-    ratio: float = 0.1,
+    ratio: float = 0.02,
     least_pages: int = 10,
     text_col: str = "text",
     host_col: str = "source",
@@ -127,7 +134,7 @@ def site_line_dedup(
     have no line; an empty text is one line without a word, which stays. A NULL host is a host of
     its own. Repeated rows count as one page and each loses the same lines. An empty table gives none.
     """
-    frequent = frequent_lines(docs, ratio, least_pages, text_col, host_col)
+    frequent = frequent_lines(docs, F.lit(ratio) * F.col("host_docs"), least_pages, text_col, host_col)
     rows = marked_lines(docs, frequent, text_col, host_col)
     rows = rows.withColumns(
         {
@@ -199,7 +206,7 @@ def text_counts(text: Column) -> dict[str, Column]:
 
 def quality_rules(
     docs: DataFrame,
-    share: float = 0.1,
+    scale: float = 2.0,
     least_docs: int = 20,
     keep_share: float = 0.5,
     min_words: int = 50,
@@ -209,8 +216,8 @@ def quality_rules(
 ) -> DataFrame:
     """Cross-document line frequency, and the base rules beside.
 
-    A line in more than ``least_docs`` documents of its host, and more than ``share`` of them, is
-    removed. A document fails the base rules with fewer than ``min_words`` words, or more than
+    A line in more than ``least_docs`` documents of its host, and more than ``scale`` times the root
+    of the number of the host's documents, is removed. A document fails the base rules with fewer than ``min_words`` words, or more than
     ``max_repeat_percent`` per cent of them in repeated 3-word windows. It is kept if it passes them
     and the removal leaves at least ``keep_share`` of its words.
 
@@ -218,7 +225,7 @@ def quality_rules(
     of the whole text, prefixed with ``__``. NULL and empty texts have no words and fail. NULL
     hosts are one host. Repeated rows count once and get the same verdict. No rows give no rows.
     """
-    frequent = frequent_lines(docs, share, least_docs, text_col, host_col)
+    frequent = frequent_lines(docs, F.lit(scale) * F.sqrt("host_docs"), least_docs, text_col, host_col)
     rows = marked_lines(docs, frequent, text_col, host_col)
     removed = F.filter(F.arrays_zip(F.split("__text", "\n", -1).alias("l"), F.col("__hashes").alias("h")), lambda p: is_frequent(p["h"]))
     lost = F.aggregate(removed, F.lit(0), lambda a, p: a + F.size(word_array(p["l"])))

@@ -32,7 +32,7 @@ held as (
 counted as (select source, line, count(*) as n_docs from held group by source, line),
 frequent as (
   select c.source, c.line from counted c join hosts h on c.source is not distinct from h.source
-  where n_docs > {{least}} and n_docs > {{share}} * host_docs
+  where n_docs > {{least}} and n_docs > {{limit}}
 ),
 split as (
   select r, source, unnest(string_split(t, chr(10))) as l, unnest(range(len(string_split(t, chr(10))))) as i from rows
@@ -46,7 +46,7 @@ marked as (
 
 OP4_SQL = (
     "with "
-    + _LINES.format(least=20, share=0.1)
+    + _LINES.format(least=20, limit="2.0::double * sqrt(host_docs)")
     + """,
 lost as (
   select r, count(*) filter (bad) as n_lines_removed,
@@ -78,7 +78,7 @@ from counts
 
 OP7_SQL = (
     "with "
-    + _LINES.format(least=10, share=0.1)
+    + _LINES.format(least=10, limit="0.02::double * host_docs")
     + """
 select doc_id, case when rows.text is null then null when n_dropped = 0 then rows.text else coalesce(kept, '') end as text,
   case when rows.text is null then 0 else n_lines end::bigint as n_lines, n_dropped::bigint as n_dropped

@@ -16,14 +16,15 @@ def normal(line):
     return re.sub(r"[\x20\x09-\x0D]+", " ", line.lower()).strip(" ").translate(str.maketrans("123456789", "000000000"))
 
 
-def frequent(docs, share, least, host=2, text=1):
+def frequent(docs, limit, least, host=2, text=1):
+    """(host, line) in more than ``least`` texts and more than ``limit`` of the host's number of texts."""
     texts = {(d[host], d[text]) for d in docs}
     hosts = Counter(h for h, _ in texts)
     held = Counter()
     for h, t in texts:
         for line in {normal(x) for x in (t or "").split("\n") if words(x)}:
             held[h, line] += 1
-    return {k for k, n in held.items() if n > least and n > share * hosts[k[0]]}
+    return {k for k, n in held.items() if n > least and n > limit(hosts[k[0]])}
 
 
 def without(text, host, lines):

@@ -14,6 +14,8 @@ def documents(seed=1):
         parts = [prose(rng, rng.randrange(1, 40)) for _ in range(rng.randrange(1, 6))]
         if i % 3 == 0:
             parts.insert(rng.randrange(len(parts)), f"  Menu  {i % 10} of the SITE ")
+        if i % 5 == 0:
+            parts.append("Notice " + " ".join(f"part{k}" for k in range(80)))
         if i % 11 == 0:
             parts += [parts[0], "a b c d a b c d a b c d"]
         rows.append((i, "\n".join(parts), f"s{i % 2}"))
@@ -28,20 +30,36 @@ def test_quality_against_plain(spark, schema):
     docs = frame(spark, rows, *([schema] if schema else []))
     got = [
         (r["__row"]["doc_id"], r["__row"]["text"], r["__n_words"], r["__n_repeat_words"], r["__base_failed"], r["__kept"])
-        for r in lines.quality_rules(docs, share=0.2, least_docs=5).collect()
+        for r in lines.quality_rules(docs, scale=1.5, least_docs=5).collect()
     ]
-    found = frequent(rows, 0.2, 5, host=2)
-    assert found  # the menu
+    found = frequent(rows, lambda h: 1.5 * h**0.5, 5, host=2)
+    assert len({line for _, line in found}) == 2  # the menu and the notice
     want = [
         (i, without(t, s, found), len(words(t)), repeat_words(words(t)), *quality(t, s, found)) for i, t, s in rows
     ]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+    depleted = [g for g in got if not g[4] and not g[5]]
+    assert len(depleted) > 3 and any(g[5] for g in got)
+
+
+def test_limits_grow_apart(spark):
+    """A share of a site is one limit, the root of its size another: neither holds the other's lines."""
+
+    def found(n_docs, n_held):
+        rows = [(i, f"own {'x' * (i + 1)}\n" + ("held" if i < n_held else ""), "s") for i in range(n_docs)]
+        docs = frame(spark, rows)
+        removed = lines.quality_rules(docs).agg({"__n_lines_removed": "sum"}).first()[0]
+        return removed, lines.site_line_dedup(docs).agg({"__dropped": "sum"}).first()[0]
+
+    assert found(400, 30) == (0, 30)  # more than 8 pages, not more than 40 documents
+    assert found(400, 41) == (41, 41)
+    assert found(16_900, 300) == (300, 0)  # more than 260 documents, not more than 338 pages
 
 
 def test_site_lines_against_plain(spark):
     rows = documents(2)
     got = lines.site_line_dedup(frame(spark, rows), ratio=0.2, least_pages=5).collect()
-    found = frequent(rows, 0.2, 5, host=2)
+    found = frequent(rows, lambda h: 0.2 * h, 5, host=2)
     want = [(i, without(t, s, found)) for i, t, s in rows]
     assert sorted(((r["__row"]["doc_id"], r["__row"]["text"]) for r in got), key=repr) == sorted(want, key=repr)
     assert sum(r["__dropped"] for r in got) > 40
