@@ -20,16 +20,17 @@ def heavy_keys(rows: DataFrame, key: str) -> DataFrame:
 
 
 def with_label_of(rows: DataFrame, key: str, spare: str, heavy: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """``rows`` with ``name``, the label in ``labels`` (node, label) of the node in ``key``.
+    """``rows`` with ``name``, the label in ``labels`` (node, label) of the node in ``key``, or itself if it has none.
 
-    Labels of ``heavy`` keys are broadcast. Their rows look up the node in ``spare``, which must be
-    one of ``labels``, in the join by hash, so they spread over all tasks and that answer is not used.
+    Labels of ``heavy`` keys are broadcast. Their rows look up the node in ``spare`` in the join by
+    hash, so they spread over all tasks and that answer is not used.
     """
-    few = heavy.join(labels, F.col("heavy") == F.col("node")).select("heavy", F.col("label").alias("heavy_label"))
+    few = heavy.join(labels, F.col("heavy") == F.col("node"), "left")
+    few = few.select("heavy", F.coalesce("label", "heavy").alias("heavy_label"))
     marked = rows.join(F.broadcast(few), F.col(key) == F.col("heavy"), "left")
     marked = marked.withColumn("sought", F.when(F.col("heavy").isNull(), F.col(key)).otherwise(F.col(spare)))
-    found = marked.join(labels.selectExpr("node as at", "label as own_label"), F.col("sought") == F.col("at"))
-    own: Column = F.coalesce("heavy_label", "own_label")
+    found = marked.join(labels.selectExpr("node as at", "label as own_label"), F.col("sought") == F.col("at"), "left")
+    own: Column = F.coalesce("heavy_label", "own_label", key)
     return found.select(*rows.columns, own.alias(name))
 
 
@@ -58,3 +59,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         labels = jumped.select("node", "label")
         if jumped.filter("label <> old").isEmpty():
             return labels.select("node", F.col("label").alias("component"))
+
+
+def joined_components(known: DataFrame, links: DataFrame, name: str = "components") -> DataFrame:
+    """(node, component): ``known``, an answer of ``components``, with ``links`` (a, b) added to its edges.
+
+    Each end of a link is replaced by its component; only links between different components are
+    left, and only their components are searched. So the work of the rounds follows the new links,
+    and the known groups are read once to be renamed. Nodes that only ``links`` hold are added.
+    Links inside the known groups change nothing; with no known groups it is ``components`` of the links.
+    """
+    labels = known.select("node", F.col("component").alias("label"))
+    ends = stage(links.select("a", "b").filter("a <> b"), f"{name}-ends")
+    left = with_label_of(ends, "a", "b", heavy_keys(ends, "a"), labels, "x")
+    between = stage(with_label_of(left, "b", "a", heavy_keys(ends, "b"), labels, "y"), f"{name}-between")
+    merged = components(between.selectExpr("x as a", "y as b"), f"{name}-merged").withColumnRenamed("component", "label")
+    fresh = ends.select("a").union(ends.select("b")).distinct().join(known, F.col("a") == F.col("node"), "left_anti")
+    whole = stage(known.select("node", "component").union(fresh.selectExpr("a", "a as component")), f"{name}-whole")
+    named = with_label_of(whole, "component", "node", heavy_keys(whole, "component"), merged, "merged")
+    return stage(named.selectExpr("node", "merged as component"), name)

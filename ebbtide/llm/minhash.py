@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import byte_slices, pack, stage
-from .graph import components
+from .graph import components, joined_components
 from .shingles import bag_signatures, mixed, weighted_shingles, word_hashes
 
 SALTS = 64
@@ -247,8 +247,7 @@ def near_classes(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id", t
             clusters = components(apart.selectExpr("low as a", "node as b"), "near-clusters")
             inside = apart.select("node", F.col("component").alias("own")).distinct().join(clusters, "node")
             found = cross_links(inside.selectExpr("component as cluster", "node", "own as component"), texts, near)
-        edges = edges.union(stage(found, "near-edges"))
-        groups = components(edges, "near-groups")
+        groups = joined_components(groups, stage(found, "near-edges"), "near-groups")
     named = classes.join(groups, "node", "left").select("key", "id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
     return rows.select("id", "key"), stage(named.join(least, "component").select("key", "component_id"), "near-named")

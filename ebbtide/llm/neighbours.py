@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stage
-from .graph import components
+from .graph import components, joined_components
 
 EDGES = T.StructType().add("a", "long").add("b", "long").add("sim", "double")
 
@@ -256,20 +256,17 @@ def linked_vectors(
     nodes = stage(nodes.withColumns({"node": F.monotonically_increasing_id(), "size": F.size("vec")}), "nn-nodes")
 
     edges = stage(descend(tree_edges(nodes, d, 0, d.trees), nodes, d), "nn-edges")
-    links = edges.filter(F.col("sim") >= d.threshold)
-    groups = components(links, "nn-groups")
+    groups = components(edges.filter(F.col("sim") >= d.threshold), "nn-groups")
     for turn in range(d.rounds):
         missed, n_missed, n_all = missed_links(nodes, groups, d, turn)
         if n_missed == 0:
             break
-        links = stage(links.union(missed), "nn-links")
+        groups = joined_components(groups, missed, "nn-groups")
         if n_all - n_missed >= d.recall * n_all and turn:
-            groups = components(links, "nn-groups")
             break
         more = tree_edges(nodes, d, d.trees * (turn + 1), d.trees)
         edges = stage(descend(edges.union(more).union(missed), nodes, d), "nn-edges")
-        links = stage(links.union(edges.filter(F.col("sim") >= d.threshold)), "nn-links")
-        groups = components(links, "nn-groups")
+        groups = joined_components(groups, edges.filter(F.col("sim") >= d.threshold), "nn-groups")
 
     whole = nodes.select("key_a", "key_b", "node", "n_rows", "least").join(groups, "node", "left")
     whole = whole.join(link_counts(nodes, groups, d), "node", "left").withColumn("component", F.coalesce("component", "node"))

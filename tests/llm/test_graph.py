@@ -40,3 +40,24 @@ def test_heavy_keys_are_few(spark, monkeypatch):
 def test_no_edges(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
     assert graph.components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("least", [1000, 0, 20])
+@pytest.mark.parametrize("held", [0, 150, 480])
+def test_links_added_later(spark, monkeypatch, least, held):
+    """Known groups and further links give the groups of all edges: new nodes, merged groups, nothing known."""
+    monkeypatch.setattr(graph, "HEAVY_LEAST", least)
+    rows = edges_of(held)
+    nodes = {n for edge in rows if edge[0] != edge[1] for n in edge}
+    linked = {frozenset(edge) for edge in rows}
+    known = graph.components(spark.createDataFrame(rows[:held], "a long, b long"))
+    got = graph.joined_components(known, spark.createDataFrame(rows[held:], "a long, b long")).collect()
+    assert len(got) == len(nodes)
+    assert {r["node"]: r["component"] for r in got} == groups(nodes, lambda a, b: frozenset((a, b)) in linked)
+
+
+def test_no_links_added(spark):
+    known = graph.components(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"))
+    for links in ([], [(1, 3)], [(2, 2)]):
+        got = graph.joined_components(known, spark.createDataFrame(links, "a long, b long")).collect()
+        assert sorted((r["node"], r["component"]) for r in got) == [(1, 1), (2, 1), (3, 1)]
