@@ -4,14 +4,18 @@
    length, are never compared.
 2. First lists: in each of ``trees`` seeded rounds the vectors of a label are dealt into cells by the
    signs of random projections, about ``cell`` to a cell, and each vector gets its nearest ones of the
-   cell. A crowded cell is dealt into parts by hash, so no task holds more than a few ``cell``s.
+   cell. A crowded cell is dealt into parts by hash, so no task holds more than a few ``cell``s. The
+   larger a label, the more bits name a cell and the more trees it gets: as many as let a pair at the
+   threshold share a cell with probability ``share``, at least ``trees``.
 3. Descent: every node brings its neighbours, and the nodes whose neighbour it is, together, and pairs
    of them that are nearer than what they have enter their lists; again until nothing changes. A list
    holds ``k`` neighbours. If all of a full list lie above the threshold the list is saturated, and twice
-   as long from then on, up to ``k_most``. What a longer list would hold is found in step 5.
-4. Audit: the links of up to ``audit`` nodes, drawn by hash, to all rows are found by brute force. Links
-   between different groups were missed; then they are added, and further trees are grown and descended
-   from, until the share of found links reaches ``recall`` or ``rounds`` are over.
+   as long from then on, up to ``k_most``: it brings all of them together. Step 5 needs no list.
+4. Audit: one node of each of up to ``audit`` groups, drawn by hash, is compared with all rows by brute
+   force, so a large group counts once and nodes without a link are seen. It is drawn again, up to
+   ``draws`` times, until ``audit_links`` nodes with links were seen. Links between different groups were
+   missed and are added. Further trees are grown and descended from until an audit finds that at least
+   ``recall`` of the nodes with links miss none; each audit's recall is logged.
 5. Links at or above the threshold join nodes into groups. Within a group all pairs are compared, in
    blocks of ``block`` nodes, and counted, never listed: so a node's number of links is exact
    however many neighbours its list had room for.
@@ -23,6 +27,8 @@ neighbour lists name them, and to the blocks of their group.
 from __future__ import annotations
 
 import dataclasses
+import logging
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +39,7 @@ from pyspark.sql import types as T
 from .common import stage
 from .graph import components, joined_components
 
+LOG = logging.getLogger(__name__)
 EDGES = T.StructType().add("a", "long").add("b", "long").add("sim", "double")
 
 
@@ -42,13 +49,15 @@ class Descent:
     #: Pairs below this cosine lead nowhere: no neighbour of both ends of a link is farther than this from both.
     reach: float = 0.5
     trees: int = 12
+    share: float = 0.99
     cell: int = 200
     k: int = 10
     k_most: int = 80
     iterations: int = 6
-    audit: int = 1000
+    audit: int = 2000
+    audit_links: int = 200
+    draws: int = 4
     recall: float = 0.999
-    rounds: int = 3
     block: int = 1000
     seed: int = 11
 
@@ -74,12 +83,20 @@ def edge_table(a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "sim": pa.array(sim, pa.float64())})
 
 
-def tree_edges(nodes: DataFrame, d: Descent, first_tree: int, n_trees: int) -> DataFrame:
-    """(a, b, sim): the ``k`` nearest of each node in its cell of each tree, no farther than ``reach``."""
+def trees_for(bits: Column, d: Descent) -> Column:
+    """Trees in which a pair at the threshold shares one cell of so many ``bits`` with probability ``share``."""
+    same_side = 1 - math.acos(d.threshold) / math.pi
+    wanted = F.ceil(F.lit(math.log(1 - d.share)) / F.log1p(-F.pow(F.lit(same_side), bits)))
+    return F.greatest(F.lit(d.trees), wanted).cast("int")  # no bits: the logarithm is NULL
+
+
+def tree_edges(nodes: DataFrame, d: Descent, turn: int) -> DataFrame:
+    """(a, b, sim): the ``k`` nearest of each node in its cell of each tree of this turn, no farther than ``reach``."""
     sizes = nodes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("members"))
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("members") / d.cell))).cast("int")
-    rows = nodes.join(sizes.select("label", "size", bits.alias("bits")), ["label", "size"])
-    names = ["node", "label", "size", "vec", "bits"]
+    sizes = sizes.select("label", "size", bits.alias("bits")).withColumn("trees", trees_for(F.col("bits"), d))
+    rows = nodes.join(sizes, ["label", "size"])
+    names = ["node", "label", "size", "vec", "bits", "trees"]
 
     def deal(batches):
         planes: dict = {}
@@ -87,13 +104,14 @@ def tree_edges(nodes: DataFrame, d: Descent, first_tree: int, n_trees: int) -> D
             length = batch.column(batch.schema.get_field_index("size")).to_numpy()
             bits = batch.column(batch.schema.get_field_index("bits")).to_numpy()
             vec = pa.chunked_array([batch.column(batch.schema.get_field_index("vec"))])
-            for size in np.unique(length):
-                at = np.flatnonzero(length == size)
-                x = unit_rows(vec.take(pa.array(at)), int(size))
+            trees = batch.column(batch.schema.get_field_index("trees")).to_numpy()
+            for size, n_trees in np.unique(np.stack([length, trees]), axis=1).T.tolist():
+                at = np.flatnonzero((length == size) & (trees == n_trees))
+                x = unit_rows(vec.take(pa.array(at)), size)
                 own = batch.take(pa.array(at)).select(["node", "label", "size", "vec"])
-                for tree in range(first_tree, first_tree + n_trees):
+                for tree in range(n_trees * turn, n_trees * (turn + 1)):
                     if (size, tree) not in planes:
-                        planes[size, tree] = np.random.default_rng([d.seed, int(size), tree]).standard_normal((int(size), 48))
+                        planes[size, tree] = np.random.default_rng([d.seed, size, tree]).standard_normal((size, 48))
                     most = int(bits[at].max())
                     signs = (x @ planes[size, tree][:, :most] > 0) & (np.arange(most) < bits[at][:, None])
                     code = (signs * (1 << np.arange(most, dtype=np.int64))).sum(axis=1) if most else np.zeros(len(at), dtype=np.int64)
@@ -132,13 +150,13 @@ def best_of(edges: DataFrame, lengths: DataFrame) -> DataFrame:
     return ranked.withColumn("turn", F.row_number().over(order)).filter("turn <= k").select("a", "b", "sim")
 
 
-def pivot_edges(lists: DataFrame, nodes: DataFrame, d: Descent) -> DataFrame:
-    """Pairs met at a pivot: among its neighbours, and as many nodes that have it as a neighbour."""
+def pivot_edges(lists: DataFrame, lengths: DataFrame, nodes: DataFrame, d: Descent) -> DataFrame:
+    """Pairs met at a pivot: among its neighbours, and up to as many nodes, as its list is long, that have it as one."""
     back = lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim")
     some = Window.partitionBy("a").orderBy(F.col("sim").desc(), F.xxhash64("b"))
-    back = back.withColumn("turn", F.row_number().over(some)).filter(F.col("turn") <= d.k).drop("turn")
-    near = lists.withColumn("turn", F.row_number().over(some)).filter(F.col("turn") <= d.k).drop("turn")
-    met = near.union(back).select(F.col("a").alias("pivot"), F.col("b").alias("node")).distinct()
+    back = back.withColumn("turn", F.row_number().over(some)).filter(F.col("turn") <= d.k_most).join(lengths, "a")
+    back = back.filter("turn <= k").select(*lists.columns)
+    met = lists.union(back).select(F.col("a").alias("pivot"), F.col("b").alias("node")).distinct()
     met = met.join(nodes.select("node", "size", "vec"), "node")
 
     def pairs(group: pa.Table) -> pa.Table:
@@ -161,7 +179,7 @@ def descend(edges: DataFrame, nodes: DataFrame, d: Descent) -> DataFrame:
         longer = (F.col("linked") >= F.col("k")) & (F.col("k") < d.k_most)
         lengths = lengths.join(full, "a", "left").select("a", F.when(longer, 2 * F.col("k")).otherwise(F.col("k")).alias("k"))
         lengths = stage(lengths, "nn-lengths")
-        better = stage(best_of(lists.union(pivot_edges(lists, nodes, d)), lengths), "nn-lists")
+        better = stage(best_of(lists.union(pivot_edges(lists, lengths, nodes, d)), lengths), "nn-lists")
         changed = better.select("a", "b").join(lists, ["a", "b"], "left_anti")
         done = changed.isEmpty()
         lists = better
@@ -170,12 +188,15 @@ def descend(edges: DataFrame, nodes: DataFrame, d: Descent) -> DataFrame:
     return lists
 
 
-def missed_links(nodes: DataFrame, groups: DataFrame, d: Descent, turn: int) -> tuple[DataFrame, int, int]:
-    """(links, missed, all): links of a bounded sample of nodes whose ends lie in different groups, with counts."""
-    order = F.xxhash64("node", F.lit(turn))
+def missed_links(nodes: DataFrame, groups: DataFrame, d: Descent, draw: int) -> tuple[DataFrame, int, int]:
+    """(links, missing, linked): of one node each of a bounded sample of groups the links that leave its group,
+    the number of nodes that have such links, and of nodes that have any."""
+    order = F.xxhash64("node", F.lit(draw))
     joined = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     joined = stage(joined.select("node", "label", "size", "vec", "component"), "nn-audited")
-    sample = joined.orderBy(order).limit(d.audit).collect()  # bounded by d.audit
+    heads = joined.groupBy("component").agg(F.min(F.struct(order.alias("turn"), "node")).alias("head"))
+    heads = heads.orderBy("head").limit(d.audit).select("head.node")  # bounded by d.audit
+    sample = joined.join(F.broadcast(heads), "node").collect()
     known: dict = {}
     for r in sample:
         known.setdefault((r["label"], r["size"]), []).append(r)
@@ -199,16 +220,32 @@ def missed_links(nodes: DataFrame, groups: DataFrame, d: Descent, turn: int) ->
                 sims = unit_rows(part["vec"], key[1]) @ x.T
                 i, j = np.nonzero((sims >= d.threshold) & (node[:, None] != own))
                 apart = group[i] != own_group[j]
+                linked = np.unique(own[j])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[i][apart], pa.int64()), pa.array(own[j][apart], pa.int64()), pa.array(sims[i, j][apart]), pa.array(np.zeros(apart.sum(), dtype=np.int64))],
-                    names=["a", "b", "sim", "n"],
-                )
-                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.float64()), pa.array([len(i)], pa.int64())], names=["a", "b", "sim", "n"])
-
-    found = stage(joined.mapInArrow(compare, "a long, b long, sim double, n long"), "nn-audit")
-    total = found.agg(F.sum("n")).first()[0] or 0
-    links = found.filter("a is not null").select("a", "b", "sim")
-    return links, links.count(), total
+                    [
+                        pa.array(node[i][apart].tolist() + [None] * len(linked), pa.int64()),
+                        pa.array(np.concatenate([own[j][apart], linked]), pa.int64()),
+                    ],
+                    names=["a", "b"],
+                )
+
+    found = stage(joined.mapInArrow(compare, "a long, b long"), "nn-audit")
+    counts = found.agg(F.countDistinct("b").alias("linked"), F.countDistinct(F.when(F.col("a").isNotNull(), F.col("b"))).alias("missing")).first()
+    return found.filter("a is not null"), counts["missing"], counts["linked"]
+
+
+def audited(nodes: DataFrame, groups: DataFrame, d: Descent, turn: int) -> tuple[DataFrame, bool]:
+    """The groups with the missed links that an audit finds, and whether it finds that too few were missed to go on."""
+    missing = linked = 0
+    for draw in range(d.draws):
+        links, n_missing, n_linked = missed_links(nodes, groups, d, d.draws * turn + draw)
+        missing, linked = missing + n_missing, linked + n_linked
+        if n_missing:
+            groups = joined_components(groups, links, "nn-groups")
+        if linked >= d.audit_links:
+            break
+    LOG.info("turn %d: %d of %d audited nodes with links missed one, recall %.4f", turn, missing, linked, 1 - missing / max(1, linked))
+    return groups, missing <= (1 - d.recall) * linked
 
 
 def link_counts(nodes: DataFrame, groups: DataFrame, d: Descent) -> DataFrame:
@@ -255,17 +292,15 @@ def linked_vectors(
     )
     nodes = stage(nodes.withColumns({"node": F.monotonically_increasing_id(), "size": F.size("vec")}), "nn-nodes")
 
-    edges = stage(descend(tree_edges(nodes, d, 0, d.trees), nodes, d), "nn-edges")
+    edges = stage(descend(tree_edges(nodes, d, 0), nodes, d), "nn-edges")
     groups = components(edges.filter(F.col("sim") >= d.threshold), "nn-groups")
-    for turn in range(d.rounds):
-        missed, n_missed, n_all = missed_links(nodes, groups, d, turn)
-        if n_missed == 0:
-            break
-        groups = joined_components(groups, missed, "nn-groups")
-        if n_all - n_missed >= d.recall * n_all and turn:
+    turn = 0
+    while True:
+        groups, enough = audited(nodes, groups, d, turn)
+        if enough:
             break
-        more = tree_edges(nodes, d, d.trees * (turn + 1), d.trees)
-        edges = stage(descend(edges.union(more).union(missed), nodes, d), "nn-edges")
+        turn += 1
+        edges = stage(descend(edges.union(tree_edges(nodes, d, turn)), nodes, d), "nn-edges")
         groups = joined_components(groups, edges.filter(F.col("sim") >= d.threshold), "nn-groups")
 
     whole = nodes.select("key_a", "key_b", "node", "n_rows", "least").join(groups, "node", "left")

@@ -57,3 +57,20 @@ def test_no_rows(spark):
     assert neighbours.linked_vectors(frame).count() == 0
     one = spark.createDataFrame([(5, None, None, 1, 1, 1)], SCHEMA)
     assert [tuple(r) for r in neighbours.linked_vectors(one).collect()] == [(5, 0, 5, True)]
+
+
+@pytest.mark.parametrize("d", [neighbours.Descent(cell=20), neighbours.Descent(trees=1, share=0.1, cell=10, k=2, iterations=1, audit=100, audit_links=10)])
+def test_few_links_in_many_vectors(spark, caplog, d):
+    """Pairs that stand alone among many vectors without links, beside one large group: whatever the trees see, 0.99 is found."""
+    rng = np.random.default_rng(5)
+    singles, pairs = rng.standard_normal((900, 16)), rng.standard_normal((60, 16))
+    group = rng.standard_normal(16) + 0.02 * rng.standard_normal((300, 16))
+    x = np.concatenate([singles, pairs, pairs + 0.06 * rng.standard_normal(pairs.shape), group])
+    rows = [(k, v.astype(np.float32).tolist(), k % 3 if k < 900 else 1) for k, v in enumerate(x)]
+    want = {r[0]: r for r in truth(rows)}
+    with caplog.at_level("INFO", logger="ebbtide.llm.neighbours"):
+        got = neighbours.linked_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), d).collect()
+    linked = [i for i, (_, n, _) in want.items() if n]
+    equal = sum((r["vec_id"], r["n_links"], r["component_id"]) == want[r["vec_id"]] for r in got if r["vec_id"] in set(linked))
+    assert len(linked) > 400 and equal >= 0.99 * len(linked)
+    assert "recall" in caplog.text
