@@ -169,11 +169,18 @@ def _document_credits() -> Column:
     )
 
 
+def sending(spark: SparkSession, sf_dir: str, rows: DataFrame, number: str) -> DataFrame:
+    """``rows`` with the document that each sends: its number, counted around the documents' numbers."""
+    documents = table(spark, sf_dir, "documents")
+    last = documents.agg(F.max("doc_id")).first()[0]  # one value, from the statistics of the files
+    around = F.pmod(F.col(number), F.lit((last or 0) + 1))
+    return rows.withColumn("sent", around).join(documents, F.col("sent") == F.col("doc_id"))
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of an order sends the document of the order's number: copies but for the id."""
     lines = order_lines(spark, sf_dir)
-    documents = table(spark, sf_dir, "documents")
-    return lines.join(documents, F.col("o_orderkey") == F.col("doc_id")).select(
+    return sending(spark, sf_dir, lines, "o_orderkey").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("o_custkey").alias("user_id"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.floor(F.col("o_totalprice") / 1000).cast("long")).alias(
@@ -266,10 +273,9 @@ def user_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event of a document's number sends it."""
+    """Every event sends the document of its number."""
     events = table(spark, sf_dir, "events")
-    documents = table(spark, sf_dir, "documents")
-    return events.join(documents, F.col("event_id") == F.col("doc_id")).select(
+    return sending(spark, sf_dir, events, "event_id").select(
         F.col("event_id").alias("id"),
         "user_id",
         F.when(_prop() >= 20, _prop()).alias("recipients_count"),

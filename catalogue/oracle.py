@@ -182,7 +182,8 @@ CTE: dict[str, str] = {
     select l_orderkey * 10 + l_linenumber as id, o_custkey as user_id,
       case when o_orderpriority <> '5-LOW' then cast(floor(o_totalprice / 1000) as bigint) end as recipients_count,
       text as message, {CREDITS} as credits, cast(day as timestamp) as stamp_to_send
-    from order_lines join documents on o_orderkey = doc_id""",
+    from (select *, o_orderkey % (select max(doc_id) + 1 from documents) as sent from order_lines)
+      join documents on sent = doc_id""",
     "newest": "select max(first_usage_units) as as_of from accounts",
     "all_cohort": _cohort(),
     "filled": """
@@ -226,7 +227,8 @@ CTE: dict[str, str] = {
     "user_messages": f"""
     select event_id as id, user_id, case when {PROP} >= 20 then {PROP} end as recipients_count,
       text as message, {CREDITS} as credits, ts as stamp_to_send
-    from events join documents on event_id = doc_id""",
+    from (select *, event_id % (select max(doc_id) + 1 from documents) as sent from events)
+      join documents on sent = doc_id""",
     # rows with a given score
     "scored_accounts": """
     select account_id, churn_90d as Response, contacts, keywords_all, number_of_contacts, md_sc_f as cohort,
