@@ -13,23 +13,33 @@ HEAVY_SHARE = 10_000
 HEAVY_LEAST = 1_000
 
 
-def heavy_keys(rows: DataFrame, key: str) -> DataFrame:
-    """(heavy): the keys of heavy weight, fewer than ``HEAVY_SHARE``. Counted per task before the shuffle."""
-    limit = max(HEAVY_LEAST, rows.count() // HEAVY_SHARE)
-    return rows.groupBy(F.col(key).alias("heavy")).count().filter(F.col("count") > limit).select("heavy")
+def heavy_keys(rows: DataFrame, key: str) -> DataFrame | None:
+    """(heavy): the keys of heavy weight, fewer than ``HEAVY_SHARE``; None if there are none. Counted per task before
+    the shuffle."""
+    n = rows.count()
+    if n <= HEAVY_LEAST:
+        return None
+    limit = max(HEAVY_LEAST, n // HEAVY_SHARE)
+    keys = rows.groupBy(F.col(key).alias("heavy")).count().filter(F.col("count") > limit).select("heavy")
+    keys = stage(keys, "heavy-keys")
+    return None if keys.isEmpty() else keys
 
 
-def with_label_of(rows: DataFrame, key: str, spare: str, heavy: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+def with_label_of(rows: DataFrame, key: str, spare: str, heavy: DataFrame | None, labels: DataFrame, name: str) -> DataFrame:
     """``rows`` with ``name``, the label in ``labels`` (node, label) of the node in ``key``, or itself if it has none.
 
     Labels of ``heavy`` keys are broadcast. Their rows look up the node in ``spare`` in the join by
     hash, so they spread over all tasks and that answer is not used.
     """
+    own_labels = labels.selectExpr("node as at", "label as own_label")
+    if heavy is None:
+        found = rows.join(own_labels, F.col(key) == F.col("at"), "left")
+        return found.select(*rows.columns, F.coalesce("own_label", key).alias(name))
     few = heavy.join(labels, F.col("heavy") == F.col("node"), "left")
     few = few.select("heavy", F.coalesce("label", "heavy").alias("heavy_label"))
     marked = rows.join(F.broadcast(few), F.col(key) == F.col("heavy"), "left")
     marked = marked.withColumn("sought", F.when(F.col("heavy").isNull(), F.col(key)).otherwise(F.col(spare)))
-    found = marked.join(labels.selectExpr("node as at", "label as own_label"), F.col("sought") == F.col("at"), "left")
+    found = marked.join(own_labels, F.col("sought") == F.col("at"), "left")
     own: Column = F.coalesce("heavy_label", "own_label", key)
     return found.select(*rows.columns, own.alias(name))
 
@@ -46,7 +56,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stage(both.filter("a <> b").distinct(), f"{name}-edges")
-    hubs = stage(heavy_keys(both, "b"), f"{name}-hubs")
+    hubs = heavy_keys(both, "b")
     labels = stage(both.groupBy("a").agg(F.min("b").alias("n")).selectExpr("a as node", "least(a, n) as label"), name)
     while True:
         heard = with_label_of(both, "b", "a", hubs, labels, "label").groupBy("a").agg(F.min("label").alias("heard"))
