@@ -33,7 +33,7 @@ from .graph import components, joined_components
 from .shingles import bag_signatures, mixed, weighted_shingles, word_hashes
 
 SALTS = 64
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 @dataclasses.dataclass(frozen=True)
