@@ -47,28 +47,42 @@ def with_label_of(rows: DataFrame, key: str, spare: str, heavy: DataFrame | None
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): for each node of ``edges`` (a, b) the smallest node that it can reach.
 
-    Rounds of two steps until nothing changes: every node takes the smallest label among its own and
-    its neighbours', then the label of its label. Labels fall along a path of length n in about
-    log n rounds. Each step is written, so a lost executor costs one step at most. A hub's
+    Every node points at the smallest of itself and its neighbours, then at the end of the way that
+    the pointers make, found in the logarithm of its length by taking the pointer of the pointer. The
+    ends, and the distinct edges between them, are the next round's graph, until no edge is left; then
+    the rounds' pointers are put together, last round first. An end takes in a node or points at another in
+    two rounds, so the graph halves at least every two rounds, and an edge is read again only while its
+    ends lie apart. Each step is written, so a lost executor costs one step at most. A hub's
     neighbours are combined per task before they are shuffled, and neither the rows that ask for a
     hub's label nor the members of a large group, which ask for the label of one node, meet in one
     task: see ``with_label_of``. No edges give no rows.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stage(both.filter("a <> b").distinct(), f"{name}-edges")
-    hubs = heavy_keys(both, "b")
-    labels = stage(both.groupBy("a").agg(F.min("b").alias("n")).selectExpr("a as node", "least(a, n) as label"), name)
-    while True:
-        heard = with_label_of(both, "b", "a", hubs, labels, "label").groupBy("a").agg(F.min("label").alias("heard"))
-        lower = labels.join(heard, F.col("node") == F.col("a")).selectExpr(
-            "node", "label as old", "least(label, heard) as label"
-        )
-        lower = stage(lower, f"{name}-lower")
-        jumped = with_label_of(lower, "label", "node", heavy_keys(lower, "label"), lower, "jump")
-        jumped = stage(jumped.selectExpr("node", "old", "least(label, jump) as label"), name)
-        labels = jumped.select("node", "label")
-        if jumped.filter("label <> old").isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
+    left = stage(apart(edges, "a", "b"), f"{name}-edges")
+    rounds = []
+    while not rounds or not left.isEmpty():
+        both = left.union(left.selectExpr("b as a", "a as b"))
+        labels = stage(both.groupBy("a").agg(F.min("b").alias("n")).selectExpr("a as node", "least(a, n) as label"), name)
+        while True:
+            jumped = with_label_of(labels, "label", "node", heavy_keys(labels, "label"), labels, "jump")
+            jumped = stage(jumped, f"{name}-jumped")
+            labels = jumped.selectExpr("node", "jump as label")
+            if jumped.filter("label <> jump").isEmpty():
+                break
+        rounds.append(labels)
+        half = with_label_of(left, "a", "b", heavy_keys(left, "a"), labels, "x")
+        whole = with_label_of(half, "b", "a", heavy_keys(left, "b"), labels, "y")
+        left = stage(apart(whole, "x", "y"), f"{name}-edges")
+    found = rounds.pop()
+    while rounds:
+        labels = rounds.pop()
+        named = with_label_of(labels, "label", "node", heavy_keys(labels, "label"), found, "end")
+        found = stage(named.selectExpr("node", "end as label"), name)
+    return found.select("node", F.col("label").alias("component"))
+
+
+def apart(edges: DataFrame, x: str, y: str) -> DataFrame:
+    """(a, b): the distinct edges of two ends, the smaller one first."""
+    return edges.filter(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
 def joined_components(known: DataFrame, links: DataFrame, name: str = "components") -> DataFrame:

@@ -61,3 +61,22 @@ def test_no_links_added(spark):
     for links in ([], [(1, 3)], [(2, 2)]):
         got = graph.joined_components(known, spark.createDataFrame(links, "a long, b long")).collect()
         assert sorted((r["node"], r["component"]) for r in got) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_an_edge_is_read_again_only_while_its_ends_lie_apart(spark, monkeypatch):
+    """Rows whose ends are looked up do not add up to a multiple of the edges for every round."""
+    rng = random.Random(5)
+    rows = list({(low, rng.randrange(100, 700)) for low in range(30) for _ in range(60)}) + [(k, k + 1) for k in range(900, 930)]
+    looked_up = []
+    plain = graph.with_label_of
+
+    def counted(frame, key, *rest):
+        if key in ("a", "b"):
+            looked_up.append(frame.count())
+        return plain(frame, key, *rest)
+
+    monkeypatch.setattr(graph, "with_label_of", counted)
+    got = graph.components(spark.createDataFrame(rows, "a long, b long")).collect()
+    linked = {frozenset(edge) for edge in rows}
+    assert {r["node"]: r["component"] for r in got} == groups({n for e in rows for n in e}, lambda a, b: frozenset((a, b)) in linked)
+    assert sum(looked_up) <= 3 * len(rows)
