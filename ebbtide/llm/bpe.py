@@ -9,8 +9,10 @@ Pieces of like length are encoded together: their trees are rows of one numpy ar
 merges the root pair of all rows that have one. A few pieces, or very long ones, use the same tree
 on a plain list.
 
-Texts repeat their pieces, so each worker process keeps what it has encoded, up to ``KEPT`` pieces;
-beyond that the older half of the memory is dropped and its pieces are encoded again when met.
+Texts repeat their pieces, so each worker process keeps what it has encoded, about ``2 * KEPT`` pieces;
+beyond that, of the older ones only those at hand are kept, and others are encoded again when met.
+Ids are decoded by text: the bytes of all tokens lie end to end, and the bytes of many texts are
+gathered from there at once.
 Nothing is shuffled: encoding is one narrow pass over the texts.
 """
 
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 import gc
 import json
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +31,14 @@ from pyspark.sql import types as T
 from .common import byte_slices, pack
 
 NONE = np.int64(1) << 62
+#: The same in trees of 32 bits.
+NONE_32 = 2**31 - 1
 #: Pieces remembered by a worker process in each of two generations.
 KEPT = 250_000
+#: Bytes of text encoded at once: few enough for their chunks to stay in the processor's caches.
+SLICE = 1 << 20
 #: Cells of the trees that are worked on at once.
-CELLS = 1 << 20
+CELLS = 1 << 16
 #: Fewer pieces of a length class than this are encoded one by one.
 FEW = 12
 #: Marks that often end a word; any other ending goes through the pattern.
@@ -70,6 +76,8 @@ class Vocabulary:
         self.lengths = np.zeros(max(self.bytes) + 1, dtype=np.int64)
         for i, raw in self.bytes.items():
             self.lengths[i] = len(raw)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.laid = np.frombuffer(b"".join([self.bytes.get(i, b"") for i in range(len(self.lengths))]), dtype=np.uint8)
         self.first = np.array([ids[c] for c in chars], dtype=np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in content["model"]["merges"]]
         left = np.array([ids[a] for a, _ in pairs], dtype=np.int64)
@@ -140,10 +148,13 @@ class Vocabulary:
         inside = np.arange(width) < sizes[:, None]
         ids = np.full((n, width + 1), -1, dtype=np.int64)  # the last column is the end of every row
         ids[:, :width][inside] = self.first[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
-        places = np.arange(width, dtype=np.int64)
-        tree = np.full((n, 2 * width), NONE, dtype=np.int64)
-        ranks = self.ranks(ids[:, :width], ids[:, 1:])
-        tree[:, width:] = np.where(ranks >= 0, ranks * width + places, NONE)
+        kind = np.int32 if len(self.keys) * width < NONE_32 else np.int64
+        none = kind(NONE_32 if kind is np.int32 else NONE)
+        places = np.arange(width, dtype=kind)
+        tree = np.full((n, 2 * width), none, dtype=kind)
+        pairs = inside[:, 1:].nonzero()
+        ranks = self.ranks(ids[:, : width - 1][pairs], ids[:, 1:width][pairs])
+        tree[pairs[0], pairs[1] + width] = np.where(ranks >= 0, ranks * width + pairs[1], none)
         node = width
         while node > 1:
             tree[:, node // 2 : node] = np.minimum(tree[:, node : 2 * node : 2], tree[:, node + 1 : 2 * node : 2])
@@ -151,40 +162,47 @@ class Vocabulary:
         after = np.tile(np.arange(1, width + 2, dtype=np.int64), (n, 1))
         after[after > sizes[:, None] - 1] = width
         before = np.tile(np.arange(-1, width, dtype=np.int64), (n, 1))
+        # Cell p of row r in these arrays laid flat: r * (width + 1) + p; in the tree: r * 2 * width + p.
+        tree, ids, after, before = tree.ravel(), ids.ravel(), after.ravel(), before.ravel()
 
-        def put(row: np.ndarray, p: np.ndarray, value: np.ndarray) -> None:
+        def put(base: np.ndarray, p: np.ndarray, value: np.ndarray) -> None:
             node = p + width
-            tree[row, node] = value
-            while node[0] > 1:
-                node = node >> 1
-                tree[row, node] = np.minimum(tree[row, 2 * node], tree[row, 2 * node + 1])
+            tree[base + node] = value
+            for _ in range(width.bit_length() - 1):
+                left = base + (node & -2)
+                node >>= 1
+                tree[base + node] = np.minimum(tree[left], tree[left + 1])
 
-        row = np.flatnonzero(tree[:, 1] < NONE) if width > 1 else np.zeros(0, dtype=np.int64)
+        row = np.flatnonzero(tree[1 :: 2 * width] < none) if width > 1 else np.zeros(0, dtype=np.int64)
         while len(row):
-            rank, p = np.divmod(tree[row, 1], width)
-            q = after[row, p]
-            ids[row, p] = self.merged[rank]
-            ids[row, q] = -1
-            following = after[row, q]
-            after[row, p] = following
-            before[row, following] = p
-            put(row, q, np.full(len(row), NONE))
-            ranks = self.ranks(ids[row, p], ids[row, following])
-            put(row, p, np.where(ranks >= 0, ranks * width + p, NONE))
-            has = before[row, p] >= 0
-            some, here = row[has], p[has]
-            if len(some):
-                ahead = before[some, here]
-                ranks = self.ranks(ids[some, ahead], ids[some, here])
-                put(some, ahead, np.where(ranks >= 0, ranks * width + ahead, NONE))
-            row = row[tree[row, 1] < NONE]
-        left = ids[:, :width]
+            base, start = row * (2 * width), row * (width + 1)
+            rank, p = np.divmod(tree[base + 1], kind(width))
+            p = p.astype(np.int64)
+            q = after[start + p]
+            merged = self.merged[rank]
+            ids[start + p] = merged
+            ids[start + q] = -1
+            following = after[start + q]
+            after[start + p] = following
+            before[start + following] = p
+            ranks = self.ranks(merged, ids[start + following])
+            ahead = before[start + p]
+            has = np.flatnonzero(ahead >= 0)
+            place = ahead[has]
+            here = self.ranks(ids[start[has] + place], merged[has])
+            bases = np.concatenate([base, base, base[has]])
+            values = np.concatenate([
+                np.full(len(row), none), np.where(ranks >= 0, ranks * width + p, none), np.where(here >= 0, here * width + place, none)
+            ])
+            put(bases, np.concatenate([q, p, place]), values.astype(kind))
+            row = row[tree[base + 1] < none]
+        left = ids.reshape(n, width + 1)[:, :width]
         kept = left >= 0
         return left[kept], kept.sum(1)
 
-    def encode_pieces(self, pieces: list[bytes]) -> tuple[list[bytes], list[bytes]]:
-        """For each piece its ids, as little-endian 32-bit bytes, and the bytes that these ids stand for."""
-        ids, back = [b""] * len(pieces), [b""] * len(pieces)
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """For each piece its ids, as little-endian 32-bit bytes."""
+        ids = [b""] * len(pieces)
         classes: dict[int, list[int]] = {}
         for i, piece in enumerate(pieces):
             if piece:
@@ -201,21 +219,26 @@ class Vocabulary:
                 else:
                     values, counts = self.encode_class(own, width)
                 coded = values.astype("<i4").tobytes()
-                decoded = self.decode_bytes(values)
-                ends = np.cumsum(counts)
-                byte_ends = np.cumsum(self.lengths[values])[ends - 1].tolist()
-                at = at_byte = 0
-                for i, end, byte_end in zip(part, (4 * ends).tolist(), byte_ends):
-                    ids[i], back[i] = coded[at:end], decoded[at_byte:byte_end]
-                    at, at_byte = end, byte_end
-        return ids, back
+                at = 0
+                for i, end in zip(part, (4 * np.cumsum(counts)).tolist()):
+                    ids[i] = coded[at:end]
+                    at = end
+        return ids
+
+    def decode(self, lists: list[bytes]) -> list[str]:
+        """The text of each list of ids (little-endian 32-bit bytes); bytes that are no UTF-8 become U+FFFD."""
+        ids = np.frombuffer(b"".join(lists), dtype="<i4")
+        sizes = self.lengths[ids]
+        ends = np.cumsum(sizes)
+        raw = self.laid[np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(sizes.sum())].tobytes()
+        last = np.cumsum([0] + [len(x) // 4 for x in lists])
+        at = np.concatenate([[0], ends])[last].tolist()
+        return [raw[i:j].decode("utf-8", errors="replace") for i, j in zip(at, at[1:])]
 
-    def decode_bytes(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of ids; bytes that are no UTF-8 become U+FFFD."""
-        return self.decode_bytes(ids).decode("utf-8", errors="replace")
+def chunk_of(piece: str) -> str:
+    """The chunk that is this piece alone: see ``Encoder``. "\\1" marks one without a space before it."""
+    return piece[1:] if piece[0] == " " and piece[1:2] not in ("\0", "\1") else "\1" + piece
 
 
 class Encoder:
@@ -232,7 +255,6 @@ class Encoder:
         self.vocabulary = Vocabulary(path)
         self.pattern = regex.compile(PIECES)
         self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, str] = {}
 
     def chunks(self, text: str) -> list[str]:
         """What a text is made of: each chunk but the first of a part begins with its space."""
@@ -246,37 +268,49 @@ class Encoder:
             return out + (self.chunks(text[at:]) if at < len(text) else [])
         if "\0" in text or "\1" in text or self.wide.search(text):
             return ["\1" + p for p in self.pattern.findall(text)]
-        first, *rest = text.split(" ")
-        return ([f"\1{first}"] if first else []) + rest
+        return self.parts(text)
+
+    def parts(self, text: str) -> list[str]:
+        """The chunks of a text without special tokens, marks and wider gaps."""
+        out = text.split(" ")
+        if out[0]:
+            out[0] = "\1" + out[0]
+        else:
+            del out[0]
+        return out
+
+    def cut(self, texts: list[str | None]) -> tuple[list[list[str]], set[str]]:
+        """The chunks of each text, and all of them. Gaps are looked for in the distinct chunks, not in each text."""
+        odd = ["\0", "\1", *self.vocabulary.special]
+        plain = [not any(x in t for x in odd) if t else False for t in texts]
+        out = [self.parts(t) if p else self.chunks(t) if t else [] for t, p in zip(texts, plain)]
+        wanted = set().union(*out)
+        gaps = {c for c in wanted if not c or c[-1].isspace() or c[c[0] == "\1" and len(c) > 1].isspace()}
+        if not gaps:
+            return out, wanted
+        out = [self.chunks(t) if p and not gaps.isdisjoint(c) else c for t, p, c in zip(texts, plain, out)]
+        return out, set().union(*out)
 
     def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks that aren't remembered, and decode them again for the way back."""
+        """Encode the chunks that aren't remembered. Their pieces are remembered as the chunks of one piece."""
         v, findall, known = self.vocabulary, self.pattern.findall, self.ids
+        whole: list[str] = []
         cut: dict[str, list[str]] = {}
         for chunk in chunks:
             if chunk in known:
                 continue
             if chunk.isalpha():
-                cut[chunk] = [" " + chunk]
+                whole.append(chunk)
             elif chunk[-1:] in CLOSING and chunk[:-1].isalpha():  # a word and one mark
-                cut[chunk] = [" " + chunk[:-1], chunk[-1]]
+                cut[chunk] = [chunk[:-1], "\1" + chunk[-1]]
             elif chunk[:1] == "\0":
-                cut[chunk] = []
+                known[chunk] = np.array([v.special[chunk[1:]]]).astype("<i4").tobytes()
             else:
-                cut[chunk] = findall(chunk[1:] if chunk[:1] == "\1" else " " + chunk)
-        names = [
-            p for p in set(chain.from_iterable(cut.values())) if p[0] != " " or p[1:2] in ("\0", "\1") or p[1:] not in known
-        ]  # a word that is remembered with its space is taken from there
-        coded, decoded = v.encode_pieces([p.encode() for p in names])
-        ids = dict(zip(names, coded))
-        back = {p: raw.decode("utf-8", errors="replace") for p, raw in zip(names, decoded)}
+                cut[chunk] = list(map(chunk_of, findall(chunk[1:] if chunk[:1] == "\1" else " " + chunk)))
+        names = [n for n in set(chain(whole, chain.from_iterable(cut.values()))) if n not in known]
+        known.update(zip(names, v.encode_pieces([(n[1:] if n[:1] == "\1" else " " + n).encode() for n in names])))
         for chunk, parts in cut.items():
-            if chunk[:1] == "\0":
-                token = np.array([v.special[chunk[1:]]])
-                known[chunk], self.texts[chunk] = token.astype("<i4").tobytes(), v.decode(token)
-            else:
-                known[chunk] = b"".join([ids[p] if p in ids else known[p[1:]] for p in parts])
-                self.texts[chunk] = "".join([back[p] if p in back else self.texts[p[1:]] for p in parts])
+            known[chunk] = b"".join([known[p] for p in parts])
 
     def run(self, texts: list[str | None]) -> tuple[list[bytes], list[str]]:
         """The ids (as little-endian 32-bit bytes) and the decoded text of each text."""
@@ -287,15 +321,14 @@ class Encoder:
             gc.enable()
 
     def _run(self, texts: list[str | None]) -> tuple[list[bytes], list[str]]:
-        cut = [self.chunks(t) if t else [] for t in texts]
-        wanted = set().union(*cut) if cut else set()
+        cut, wanted = self.cut(texts)
         if len(self.ids) > 2 * KEPT:
-            old = list(self.ids)[: len(self.ids) - KEPT]
-            for chunk in old:
-                del self.ids[chunk], self.texts[chunk]
+            for chunk in [c for c in islice(self.ids, len(self.ids) - KEPT) if c not in wanted]:
+                del self.ids[chunk]
         self.learn(wanted)
-        ids, back = self.ids.__getitem__, self.texts.__getitem__
-        return [b"".join(map(ids, c)) for c in cut], ["".join(map(back, c)) for c in cut]
+        ids = self.ids.__getitem__
+        lists = [b"".join(map(ids, c)) for c in cut]
+        return lists, self.vocabulary.decode(lists)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -320,7 +353,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
 
     def run(batches):
         coder = encoder(path)
-        for batch, texts in byte_slices(batches, "__text"):
+        for batch, texts in byte_slices(batches, "__text", SLICE):
             ids, back = coder.run(texts)
             ends = np.cumsum([0] + [len(x) // 4 for x in ids])
             values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), type=pa.int32())

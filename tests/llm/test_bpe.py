@@ -60,3 +60,36 @@ def test_documents(spark, library):
     want = [(i, library.encode(t or "", add_special_tokens=False).ids, t or "") for i, t, _ in rows]
     assert sorted(((r["__row"]["doc_id"], r["ids"], r["decoded"]) for r in got), key=repr) == sorted(want, key=repr)
     assert bpe.encode_documents(frame(spark, []), PATH).count() == 0
+
+
+def test_a_word_is_encoded_once_whatever_mark_follows(library, monkeypatch):
+    coder = bpe.Encoder(PATH)
+    encoded = []
+    plain = coder.vocabulary.encode_pieces
+    monkeypatch.setattr(coder.vocabulary, "encode_pieces", lambda pieces: encoded.extend(pieces) or plain(pieces))
+    texts = ["a thonenth, b", "a thonenth. b", "a thonenth\nB thonenth", "a thonenth%%% b", "thonenth  thonenth"]
+    for text in texts:
+        own, decoded = (x[0] for x in coder.run([text]))
+        assert np.frombuffer(own, "<i4").tolist() == library.encode(text, add_special_tokens=False).ids and decoded == text
+    assert encoded.count(b" thonenth") == 1 and len(encoded) == len(set(encoded))
+
+
+def test_gaps_seen_before_and_texts_one_by_one(library):
+    """Gaps, marks and special tokens in texts of their own, each after its parts are remembered."""
+    coder = bpe.Encoder(PATH)
+    texts = ["a \n b", "a\n b", "\n", " \n", "a \x1cb \x1c c", "\x01 a \x00", "a ", " a", "  a", "\nb", "a\xa0 b", "a<|endoftext|> b  c", "", " "]
+    for text in texts + texts[::-1]:
+        own, decoded = (x[0] for x in coder.run([text]))
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own, "<i4").tolist() == want and decoded == library.decode(want, skip_special_tokens=False)
+
+
+def test_wide_trees_and_many_pieces(library):
+    """Trees of 32 and of 64 bits give the library's ids."""
+    v = bpe.encoder(PATH).vocabulary
+    rng = random.Random(6)
+    for width in (64, 1024, 1 << 16):
+        pieces = ["".join(rng.choice("abcdethis") for _ in range(rng.randrange(1, 60))) for _ in range(40)]
+        values, counts = v.encode_class([p.encode() for p in pieces], width)
+        got = [x.tolist() for x in np.split(values, np.cumsum(counts)[:-1])]
+        assert got == [library.encode(p, add_special_tokens=False).ids for p in pieces]
