@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ebbtide import Inputs, Options
 from ebbtide.functions import search
 from ebbtide.functions.text import KEYWORDS, matches
-from ebbtide.operators import messages as m
+from ebbtide.operators import bagging, forest, messages as m
 from ebbtide.plans import features
 
 from samples import account, accounts, dim, messages, packages, profiles, usage
@@ -63,3 +64,41 @@ def test_search_equals_patterns(spark, monkeypatch, piece):
     if piece > 7:
         bits = rows.select("k", search.pattern_bits(F.col("text"), list(KEYWORDS.values())).alias("b")).orderBy("k")
         assert [row["b"] for row in bits.collect()] == wanted
+
+
+def _walk(tree, row, categories):
+    """Leaf and asked variables of one row, step by step."""
+    node, asked = 0, set()
+    while tree["variable"][node] >= 0:
+        variable = tree["variable"][node]
+        asked.add(variable)
+        goes = int(row[variable]) in tree["low"][node] if variable >= len(row) - categories else row[variable] <= tree["cut"][node]
+        node = tree["left" if goes else "right"][node]
+    return node, asked
+
+
+def test_rows_walk_to_their_leaf_only():
+    rng = np.random.default_rng(5)
+    features = np.column_stack([rng.normal(size=(300, 3)), rng.integers(0, 4, 300)]).astype(float)
+    labels = (features[:, 0] + (features[:, 3] == 2) + rng.normal(size=300) > 0.5).astype(int)
+    trees = [bagging.grow(features, labels, np.ones(300), 1, 2, np.random.default_rng(k)) for k in range(4)]
+    packed = bagging.Packed(trees, 4)
+    for number, tree in enumerate(trees):
+        met = np.zeros(features.shape, dtype=bool)
+        found = packed.leaves(features, np.array([number]), met)[:, 0] - packed.first[number]
+        for row, leaf, asked in zip(features, found, met):
+            assert (leaf, set(np.flatnonzero(asked))) == _walk(tree, row, 1)
+    every = packed.leaves(features, np.arange(4))
+    assert every.shape == (300, 4) and packed.leaves(features[:0], np.arange(4)).shape == (0, 4)
+    assert [(every[:, k] == packed.leaves(features, np.array([k]))[:, 0]).all() for k in range(4)] == [True] * 4
+
+
+def test_permuted_copies_are_scored_by_many_tasks(spark):
+    rows = spark.range(400).selectExpr(
+        "id as account_id", "cast(id % 2 as int) as Response", "cast(id % 2 + id % 7 as double) as x", "cast(id % 5 as double) as y"
+    )
+    options = Options(forest_sample_share=0.5)
+    model = forest.learn(rows, ["x", "y"], [], "Response", 5, options)
+    found = forest.accuracy_importance(rows, model, "Response", "account_id", options)
+    assert "RoundRobinPartitioning(10)" in found._jdf.queryExecution().executedPlan().toString()
+    assert {row["variable"] for row in found.collect()} == {"x", "y"}
