@@ -102,3 +102,17 @@ def test_permuted_copies_are_scored_by_many_tasks(spark):
     found = forest.accuracy_importance(rows, model, "Response", "account_id", options)
     assert "RoundRobinPartitioning(10)" in found._jdf.queryExecution().executedPlan().toString()
     assert {row["variable"] for row in found.collect()} == {"x", "y"}
+
+
+def test_copies_of_a_text_are_not_shuffled(spark):
+    """What is shuffled by message has no text; the texts are shuffled once each, and no row is sorted with its text before."""
+    stamp = dt.datetime(2018, 12, 26, 8)
+    long = "sale " * 2000
+    rows = [(k, k % 3, None if k % 2 else 5, None if k % 5 == 0 else f"{long}{k % 2}", 2.0, stamp) for k in range(40)]
+    sent = messages(spark, *rows)
+    found = m.distinct_messages(sent)
+    wanted = {(*row[1:4], str(row[4]), row[5]) for row in rows}
+    got = [(r["user_id"], r["recipients_count"], r["message"], r["credits"], r["stamp_to_send"]) for r in found.collect()]
+    assert len(got) == len(wanted) and {(*r[:3], str(float(r[3])), r[4]) for r in got} == wanted
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan and "first(message" not in plan
