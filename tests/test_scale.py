@@ -6,6 +6,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ebbtide import Inputs, Options
@@ -116,3 +117,12 @@ def test_copies_of_a_text_are_not_shuffled(spark):
     assert len(got) == len(wanted) and {(*r[:3], str(float(r[3])), r[4]) for r in got} == wanted
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "SortAggregate" not in plan and "first(message" not in plan
+
+
+def test_forests_of_mllib_score_after_an_observation(spark):
+    rows = spark.range(60).selectExpr("id as account_id", "cast(id % 2 as int) as Response", "cast(id % 2 + id % 7 as double) as x")
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 60
+    model = forest.fit_forest(rows, ["x"], [], "Response", 2, Options(forest_sample_share=0.5))
+    assert forest.add_scores(rows, model).filter(F.col(forest.RAW).isNotNull()).count() == 60
